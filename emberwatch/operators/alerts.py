@@ -126,36 +126,35 @@ def alert_message_parts(message, max_length=K.MESSAGE_LIMIT - K.MESSAGE_RESERVE,
     limit = max(K.MESSAGE_MINIMUM, int(max_length))
     last = F.col("block") == F.col("sensors")
     blocks = message.select(
-        "severity_rank", "severity", "block", F.when(last, F.rtrim(F.col("text"), F.lit("\n"))).otherwise(F.col("text")).alias("text"),
+        "severity_rank",
+        "block",
+        F.when(last, F.rtrim(F.col("text"), F.lit("\n"))).otherwise(F.col("text")).alias("text"),
         F.floor(F.greatest(F.col("block") - 1, F.lit(0)) / shard_sensors).cast("bigint").alias("shard"),
     )
-    traced = blocks.groupBy("severity_rank", "shard").applyInPandas(
+    sharded = blocks.groupBy("severity_rank", "shard")
+    traced = sharded.applyInPandas(
         lambda key, rows: trace_lengths(key, rows, limit),
         "severity_rank int, shard bigint, entry int, leaves int, closed bigint",
     )
     starts = traced.groupBy("severity_rank").applyInPandas(
-        walk_shards, "severity_rank int, shard bigint, entry int, part bigint"
+        walk_shards, "severity_rank int, shard bigint, entry int, part bigint, parts bigint"
     )
-    fragments = blocks.groupBy("severity_rank", "shard").cogroup(starts.groupBy("severity_rank", "shard")).applyInPandas(
+    fragments = sharded.cogroup(starts.groupBy("severity_rank", "shard")).applyInPandas(
         lambda key, rows, start: pack_fragments(key, rows, start, limit),
-        "severity_rank int, part bigint, shard bigint, text string",
+        "severity_rank int, part bigint, parts bigint, shard bigint, text string",
     )
     pieces = F.array_sort(F.collect_list(F.struct("shard", "text")))  # of one part, so limited in size
-    parts = fragments.groupBy("severity_rank", "part").agg(
+    bodies = fragments.groupBy("severity_rank", "part", "parts").agg(
         F.array_join(F.transform(pieces, lambda piece: piece["text"]), "").alias("body")
     )
-    totals = parts.groupBy("severity_rank").agg(F.count("*").alias("parts"))  # two rows
     before, between, after = _split_prefix()
-    numbered = F.concat(
-        F.lit(before), F.col("part").cast("string"), F.lit(between), F.col("parts").cast("string"), F.lit(after), F.col("body")
-    )
-    severity = F.when(F.col("severity_rank") == 0, F.lit(K.FIRE)).otherwise(F.lit(K.FIRE_RISK))
-    return parts.join(F.broadcast(totals), "severity_rank").select(
+    prefix = F.concat(F.lit(before), F.col("part").cast("string"), F.lit(between), F.col("parts").cast("string"), F.lit(after))
+    return bodies.select(
         "severity_rank",
-        severity.alias("severity"),
+        F.when(F.col("severity_rank") == 0, F.lit(K.FIRE)).otherwise(F.lit(K.FIRE_RISK)).alias("severity"),
         "part",
         "parts",
-        F.when(F.col("parts") > 1, numbered).otherwise(F.col("body")).alias("text"),
+        F.concat(F.when(F.col("parts") > 1, prefix).otherwise(F.lit("")), F.col("body")).alias("text"),
     )
 
 

@@ -46,14 +46,14 @@ def trace_lengths(key, rows, limit):
 
 
 def walk_shards(key, runs):
-    """The length and part number each shard of one severity begins with."""
+    """How each shard of one severity begins, and how many parts there are in the end."""
     length, part, found = 0, 1, []
     for shard, rows in runs.sort_values(["shard", "entry"]).groupby("shard"):
         found.append((key[0], shard, length, part))
         run = rows.iloc[np.searchsorted(rows["entry"].to_numpy(), length, side="right") - 1]
-        # Leaving with nothing open and nothing closed keeps the part open for the next shard.
         length, part = int(run["leaves"]), part + int(run["closed"])
-    return pd.DataFrame(found, columns=["severity_rank", "shard", "entry", "part"])
+    table = pd.DataFrame(found, columns=["severity_rank", "shard", "entry", "part"])
+    return table.assign(parts=part if length else part - 1)
 
 
 def pack_fragments(key, rows, start, limit):
@@ -62,17 +62,17 @@ def pack_fragments(key, rows, start, limit):
     A fragment that goes on with a part opened before begins with the line break.
     """
     rank, shard = key
-    length, part = int(start["entry"].iloc[0]), int(start["part"].iloc[0])
+    length, part, parts = (int(start[name].iloc[0]) for name in ("entry", "part", "parts"))
     pieces, found = [], []
     for line in _lines(rows, limit):
         grown = length + 1 + len(line) if length else len(line)
         if grown > limit:
-            found.append((rank, part, shard, "".join(pieces)))
+            found.append((rank, part, parts, shard, "".join(pieces)))
             pieces, length, part = [line], len(line), part + 1
         else:
             # An empty open part is replaced, not extended: leading blank lines vanish.
             pieces.append("\n" + line if length else line)
             length = grown
-    found.append((rank, part, shard, "".join(pieces)))
-    table = pd.DataFrame(found, columns=["severity_rank", "part", "shard", "text"])
+    found.append((rank, part, parts, shard, "".join(pieces)))
+    table = pd.DataFrame(found, columns=["severity_rank", "part", "parts", "shard", "text"])
     return table[table["text"] != ""]

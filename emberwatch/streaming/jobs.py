@@ -45,10 +45,17 @@ def write_console_stream(scored, checkpoint, fmt="console", name=None, every=Non
     return _trigger(writer, every, once).start()
 
 
-def message_parts_of(abnormal):
-    """Alert messages of the abnormal rows of one batch."""
-    newest = latest_abnormal(abnormal)
-    return alerts.alert_message_parts(alerts.alert_message(alerts.alert_index(alerts.alert_groups(newest))))
+def write_alerts(abnormal, alerts_path, batch_id):
+    """Alert messages of the abnormal rows of one batch, in the order they are to be sent.
+
+    Numbering and packing go over the newest rows several times, so these are kept meanwhile.
+    """
+    newest = latest_abnormal(abnormal).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        message = alerts.alert_message(alerts.alert_index(alerts.alert_groups(newest)))
+        write_batch(alerts.alert_message_parts(message).sortWithinPartitions(*_MESSAGE_ORDER), alerts_path, batch_id)
+    finally:
+        newest.unpersist()
 
 
 def file_sink(path):
@@ -83,7 +90,7 @@ def process_batch(batch, batch_id, model, sink, alerts_path):
         sink(rows, batch_id)
         abnormal = abnormal_only(rows)
         if not abnormal.isEmpty():
-            write_batch(message_parts_of(abnormal).sortWithinPartitions(*_MESSAGE_ORDER), alerts_path, batch_id)
+            write_alerts(abnormal, alerts_path, batch_id)
     finally:
         rows.unpersist()
 
