@@ -44,7 +44,7 @@ def data_time(created_at, timestamp):
 
 def data_time_web(created_at, timestamp):
     """As ``data_time`` on raw text, but a present and empty store time hides the sensor time."""
-    return parse_time(F.nullif(F.coalesce(created_at, timestamp), F.lit("")))
+    return parse_time(F.coalesce(created_at, timestamp))
 
 
 def age_seconds(time, now=None):

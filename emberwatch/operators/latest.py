@@ -47,7 +47,7 @@ def latest_abnormal(frame, code="prediction", ties=("id",)):
 
 
 def latest_by_time(records):
-    """Newest record per sensor by data time, then id; records from ``prepare_records``."""
+    """Newest record per sensor by data time, then id; records from ``web.identify``."""
     return _first(records, ["sensor"], [F.desc("order_time"), F.desc("order_id"), F.desc("id")])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from emberwatch.constants import BREAKDOWN_GROUPS, HISTORY_ROWS, STALE_SECONDS, TOTAL_SENSORS, ZONES
 from emberwatch.functions import numbers, places, times
 from emberwatch.functions.labels import connection_state, status_alias, text_for
+from emberwatch.operators.latest import latest_by_time
 from emberwatch.operators.pruning import is_large, newest_floor
 from emberwatch.operators.zones import zone_dimension
 from emberwatch.schemas import PROBABILITIES
@@ -13,28 +14,47 @@ from emberwatch.schemas import PROBABILITIES
 _ALERTS = ["RISK", "FIRE"]
 
 
-def prepare_records(records, now=None, stale_seconds=STALE_SECONDS):
-    """Resolve identity, zone, status, time, connection and numbers of raw text records."""
+def identify(records):
+    """Adds what ranking needs to raw text records: sensor, time and number."""
     c = F.col
     named = records.withColumns(
         {
             "sensor": places.record_sensor(c("sensor_id"), c("id")),
-            "raw_zone": places.record_zone(c("zone"), c("area"), c("location")),
-            "status": status_alias(c("status"), c("prediction"), c("predicted_class"), c("result"), c("label")),
             "record_time": times.data_time_web(c("created_at"), c("timestamp")),
             "order_id": F.coalesce(numbers.to_finite(c("id")), F.lit(0.0)),
-            **{name: numbers.percent_clamped(c(name)) for name in PROBABILITIES},
         }
     )
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    timed = named.withColumns(
+    return named.withColumn("order_time", F.coalesce(c("record_time"), epoch))
+
+
+def describe(identified, now=None, stale_seconds=STALE_SECONDS):
+    """Adds zone, status, connection and percentages to identified records."""
+    c = F.col
+    named = identified.withColumns(
         {
-            "zone_name": places.zone_label_web(c("raw_zone")),
-            "order_time": F.coalesce(c("record_time"), epoch),
+            "raw_zone": places.record_zone(c("zone"), c("area"), c("location")),
+            "status": status_alias(c("status"), c("prediction"), c("predicted_class"), c("result"), c("label")),
             "age_seconds": times.age_seconds(c("record_time"), now),
+            **{name: numbers.percent_clamped(c(name)) for name in PROBABILITIES},
+        }
+    )
+    return named.withColumns(
+        {
+            "zone_name": places.zone_label_web(c("raw_zone")),
+            "connection": connection_state(c("age_seconds"), stale_seconds),
         }
     )
-    return timed.withColumn("connection", connection_state(c("age_seconds"), stale_seconds))
+
+
+def prepare_records(records, now=None, stale_seconds=STALE_SECONDS):
+    """Raw text records with everything the web operators use."""
+    return describe(identify(records), now, stale_seconds)
+
+
+def latest_sensors(records, now=None, stale_seconds=STALE_SECONDS):
+    """The newest record of each sensor. Only these are described: ranking comes first."""
+    return describe(latest_by_time(identify(records)), now, stale_seconds)
 
 
 def web_overview(latest, total=TOTAL_SENSORS):

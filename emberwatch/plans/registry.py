@@ -40,7 +40,7 @@ def _records(spark, folder):
 
 
 def _latest_records(spark, folder):
-    return latest.latest_by_time(_records(spark, folder))
+    return web.latest_sensors(events.api_records(spark, folder), NOW, STALE)
 
 
 def _abnormal(spark, folder):
@@ -318,11 +318,12 @@ def latest_by_time(spark, folder):
 
 
 def numbered_history(spark, folder):
-    return web.numbered_history(_records(spark, folder)).select("number", "id", "sensor", "record_time")
+    return web.numbered_history(web.identify(events.api_records(spark, folder))).select("number", "id", "sensor", "record_time")
 
 
 def history_by_time(spark, folder):
-    return web.history_by_time(_records(spark, folder)).select("id", "sensor", "zone_name", "status", "record_time")
+    newest = web.history_by_time(web.identify(events.api_records(spark, folder)))
+    return web.describe(newest, NOW, STALE).select("id", "sensor", "zone_name", "status", "record_time")
 
 
 def active_alerts(spark, folder):
@@ -465,7 +466,7 @@ QUERIES = {
     "multiclass_metrics": multiclass_metrics,
     "distinct_zones": lambda s, f: web.distinct_zones(_latest_records(s, f)),
     "web_alert_totals": lambda s, f: web.web_alert_totals(_latest_records(s, f)),
-    "web_history_totals": lambda s, f: web.web_history_totals(_records(s, f)),
+    "web_history_totals": lambda s, f: web.web_history_totals(web.identify(events.api_records(s, f))),
     # ranking, newest rows
     "latest_abnormal": _abnormal,
     "latest_by_time": latest_by_time,

@@ -63,10 +63,12 @@ def with_row_ids(frame, batch_id):
     25 bits of batch, 14 of task and 24 of row; a batch that does not fit fails rather
     than reuse a number.
     """
+    if batch_id >= 1 << 25:
+        raise ValueError("batch number too large for row ids")
     local = F.monotonically_increasing_id()
     task, row = F.shiftright(local, 33), local.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (task < (1 << 14)) & (row < (1 << 24)) & F.lit(batch_id < (1 << 25))
     packed = F.lit(batch_id << 38) + F.shiftleft(task, 24) + row
+    fits = (task < (1 << 14)) & (row < (1 << 24))
     return frame.withColumn("id", F.when(fits, packed).otherwise(F.raise_error(F.lit("batch too large for row ids"))))
 
 
