@@ -5,14 +5,19 @@ are never gathered into one row: the blocks stay rows, and only the parts that a
 which have a size limit, become text of their own.
 """
 
+from pyspark import cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from emberwatch import constants as K
 from emberwatch.functions import display
 from emberwatch.functions.labels import resolve_status
+from emberwatch.operators import parts
 from emberwatch.operators.parts import pack_fragments, trace_lengths, walk_shards
 
+# Sent along with the tasks, so that executors do not need this package installed.
+cloudpickle.register_pickle_by_value(parts)
+
 # Blocks numbered per bucket of this many hash digits: at most 16**3 counts per severity.
 _HASH_DIGITS = 3
 # Sensors whose blocks are packed by one task; about 15 MB of text.

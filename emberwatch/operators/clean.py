@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from emberwatch import schemas
 from emberwatch.constants import FEATURES, UNKNOWN
 from emberwatch.functions.labels import normalise_label
-from emberwatch.functions.numbers import clean_double, to_number
+from emberwatch.functions.numbers import to_number
 from emberwatch.functions.times import as_time
 
 _NUMERIC = [*FEATURES, "prediction", *schemas.PROBABILITIES]
@@ -64,8 +64,9 @@ def rename_display(frame, headings):
 
 
 def _as_number(frame, name):
-    kind = frame.schema[name].dataType.typeName()
-    return to_number(F.col(name)) if kind == "string" else clean_double(F.col(name))
+    if frame.schema[name].dataType.typeName() == "string":
+        return to_number(F.col(name))
+    return F.expr(f"nanvl(CAST({name} AS DOUBLE), NULL)")
 
 
 def prepare_predictions(frame):
@@ -77,9 +78,9 @@ def prepare_predictions(frame):
         normalise_label(F.col("prediction_label")) if "prediction_label" in present else F.lit(UNKNOWN)
     )
     if "sensor_id" in present:
-        changes["sensor_id"] = F.col("sensor_id").cast("string")
+        changes["sensor_id"] = F.expr("CAST(sensor_id AS STRING)")
     if "zone" in present:
-        changes["zone"] = F.coalesce(F.col("zone").cast("string"), F.lit(UNKNOWN))
+        changes["zone"] = F.expr(f"coalesce(CAST(zone AS STRING), '{UNKNOWN}')")
     return frame.withColumns(changes)
 
 

@@ -34,12 +34,15 @@ def _percent(part, whole):
 
 
 def status_kpis(latest):
-    """Counts per class over the fresh rows, with percentages of the fresh sensors."""
+    """Counts per class over the fresh rows, with percentages of the fresh sensors.
+
+    ``latest`` has one row per sensor, so its rows count its sensors.
+    """
     def fresh(label):
         return F.count_if(F.col("is_fresh") & (F.col("prediction_label") == label))
 
     counts = latest.agg(
-        F.count_distinct(F.when(F.col("is_fresh"), F.col("sensor_id"))).alias("fresh_sensors"),
+        F.count(F.when(F.col("is_fresh"), F.col("sensor_id"))).alias("fresh_sensors"),
         fresh(UNKNOWN).alias("unknown_count"),
         fresh(NORMAL).alias("normal_count"),
         fresh(FIRE_RISK).alias("risk_count"),
@@ -52,12 +55,12 @@ def status_kpis(latest):
 
 
 def plant_banner(latest):
-    """One row with the overall verdict and the counts it rests on."""
+    """One row with the overall verdict and the counts it rests on; one row per sensor in."""
     sensor, fresh, label = F.col("sensor_id"), F.col("is_fresh"), F.col("prediction_label")
     counts = latest.agg(
-        F.count_distinct(sensor).alias("total_sensors"),
-        F.count_distinct(F.when(fresh, sensor)).alias("fresh_sensors"),
-        F.count_distinct(F.when(~fresh, sensor)).alias("stale_sensors"),
+        F.count(sensor).alias("total_sensors"),
+        F.count(F.when(fresh, sensor)).alias("fresh_sensors"),
+        F.count(F.when(~fresh, sensor)).alias("stale_sensors"),
         F.count_if(fresh & (label == UNKNOWN)).alias("unknown_count"),
         F.count_if(fresh & (label == FIRE_RISK)).alias("risk_count"),
         F.count_if(fresh & (label == FIRE)).alias("fire_count"),

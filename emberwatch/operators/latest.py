@@ -36,18 +36,28 @@ def latest_by_max_id_join(frame):
     return frame.join(ids, "id", "left_semi")
 
 
-def latest_abnormal(frame, code="prediction", ties=("id",)):
+def _not_before_latest(frame, keys, column):
+    """Without the rows older than the oldest of the latest rows; rows without a time stay."""
+    floor = latest_floor(frame, keys, column)
+    return frame.filter((F.col(column) >= floor) | F.col(column).isNull())
+
+
+def latest_abnormal(frame, code="prediction", ties=("id",), prune=None):
     """Newest abnormal row per sensor and zone.
 
     Abnormal rows are selected before ranking: a sensor that recovered afterwards still
     counts. ``ties`` decides between rows of the same second.
     """
     abnormal = frame.filter(F.col(code).isin(ABNORMAL_CODES))
+    if is_large(frame) if prune is None else prune:
+        abnormal = _not_before_latest(abnormal, ["sensor_id", "zone"], "timestamp")
     return _first(abnormal, ["sensor_id", "zone"], [F.desc("timestamp"), *[F.desc(name) for name in ties]])
 
 
-def latest_by_time(records):
+def latest_by_time(records, prune=None):
     """Newest record per sensor by data time, then id; records from ``web.identify``."""
+    if is_large(records) if prune is None else prune:
+        records = _not_before_latest(records, ["sensor"], "order_time")
     return _first(records, ["sensor"], [F.desc("order_time"), F.desc("order_id"), F.desc("id")])
 
 

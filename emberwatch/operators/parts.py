@@ -2,46 +2,67 @@
 
 Between lines the packer knows only the length of the open part, a whole number up to
 the limit. A shard can therefore be worked through for all lengths at once, before it is
-known with which of them it begins.
+known with which of them it begins. Running totals of the line lengths make every part a
+single look-up, whatever the number of its lines.
 """
 
 import numpy as np
 import pandas as pd
 
 
-def _lines(rows, limit):
-    """The lines of a shard's blocks in order, over-long ones cut."""
+def _measured(rows, limit):
+    """The lines of a shard in order, over-long ones cut; running totals; next line with text.
+
+    A line costs its length and one line break. Both arrays have one entry more than lines.
+    """
+    lines = []
     for text in rows.sort_values("block")["text"]:
         for line in (text + "\n").splitlines():
             if len(line) <= limit:
-                yield line
+                lines.append(line)
             else:
-                yield from (line[start : start + limit] for start in range(0, len(line), limit))
+                lines += [line[start : start + limit] for start in range(0, len(line), limit)]
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    totals = np.r_[0, np.cumsum(lengths + 1)]
+    places = np.where(np.r_[lengths, 1] > 0, np.arange(len(lines) + 1), len(lines))
+    return lines, totals, np.minimum.accumulate(places[::-1])[::-1]
+
+
+def _end(totals, room):
+    """The first line that no longer fits when the lines before may cost ``room``."""
+    return np.searchsorted(totals, room, side="right") - 1
 
 
 def trace_lengths(key, rows, limit):
     """For every entry length: the length the shard leaves and the parts it closes.
 
-    Written as runs: ``entry`` is the first length of a run. Different lengths soon lead to
-    the same one, so the distinct ones are followed, each with the parts it closed.
+    Written as runs: ``entry`` is the first length of a run. A part begins at a line with
+    text, so blank lines at its start vanish.
     """
     rank, shard = key
-    first = 0 if shard == 0 else limit
-    state = np.arange(first + 1)
-    closed = np.zeros(first + 1, dtype=np.int64)
-    member = np.arange(first + 1)  # entry length -> position in state
-    for count, line in enumerate(_lines(rows, limit)):
-        grown = np.where(state > 0, state + 1 + len(line), len(line))
-        over = grown > limit
-        closed += over
-        state = np.where(over, len(line), grown)
-        if count % 64 == 63 and len(state) > 1:
-            pairs, position = np.unique(np.stack([state, closed]), axis=1, return_inverse=True)
-            state, closed, member = pairs[0], pairs[1].copy(), position.reshape(-1)[member]
-    leaves, ends = state[member], closed[member]
-    starts = np.flatnonzero(np.r_[True, (np.diff(leaves) != 0) | (np.diff(ends) != 0)])
+    lines, totals, solid = _measured(rows, limit)
+    count = len(lines)
+    entries = np.arange(1 if shard == 0 else limit + 1)
+    ends = _end(totals, limit - entries)
+    ends[0] = 0  # nothing is open
+    closed = (ends < count).astype(np.int64)
+    closed[0] = 0
+    leaves = np.where(ends < count, 0, entries + totals[count])
+    # Entry lengths that begin their next part at the same line go on together.
+    begins, member = np.unique(np.where(ends < count, solid[ends], count), return_inverse=True)
+    more, left = np.zeros_like(begins), np.zeros_like(begins)
+    open_ = begins < count
+    while open_.any():
+        ends = _end(totals, limit + 1 + totals[begins])
+        left = np.where(open_ & (ends == count), totals[count] - totals[begins] - 1, left)
+        full = open_ & (ends < count)
+        more += full
+        begins = np.where(full, solid[ends], count)
+        open_ = begins < count
+    leaves, closed = leaves + left[member], closed + more[member]
+    starts = np.flatnonzero(np.r_[True, (np.diff(leaves) != 0) | (np.diff(closed) != 0)])
     return pd.DataFrame(
-        {"severity_rank": rank, "shard": shard, "entry": starts, "leaves": leaves[starts], "closed": ends[starts]}
+        {"severity_rank": rank, "shard": shard, "entry": starts, "leaves": leaves[starts], "closed": closed[starts]}
     )
 
 
@@ -62,17 +83,17 @@ def pack_fragments(key, rows, start, limit):
     A fragment that goes on with a part opened before begins with the line break.
     """
     rank, shard = key
+    lines, totals, solid = _measured(rows, limit)
     length, part, parts = (int(start[name].iloc[0]) for name in ("entry", "part", "parts"))
-    pieces, found = [], []
-    for line in _lines(rows, limit):
-        grown = length + 1 + len(line) if length else len(line)
-        if grown > limit:
-            found.append((rank, part, parts, shard, "".join(pieces)))
-            pieces, length, part = [line], len(line), part + 1
-        else:
-            # An empty open part is replaced, not extended: leading blank lines vanish.
-            pieces.append("\n" + line if length else line)
-            length = grown
-    found.append((rank, part, parts, shard, "".join(pieces)))
-    table = pd.DataFrame(found, columns=["severity_rank", "part", "parts", "shard", "text"])
-    return table[table["text"] != ""]
+    found, begin = [], solid[0]
+    if length:
+        end = _end(totals, limit - length)
+        found.append((part, "".join("\n" + line for line in lines[:end])))
+        begin, part = solid[end], part + 1
+    while begin < len(lines):
+        end = _end(totals, limit + 1 + totals[begin])
+        found.append((part, "\n".join(lines[begin:end])))
+        begin, part = solid[end], part + 1
+    table = pd.DataFrame(found, columns=["part", "text"])
+    table = table.assign(severity_rank=rank, parts=parts, shard=shard)
+    return table.loc[table["text"] != "", ["severity_rank", "part", "parts", "shard", "text"]]

@@ -42,15 +42,16 @@ def zone_status(has_rows, total, fire, risk):
 def zone_board(latest):
     """All configured zones with their fresh statistics and status; zeros where there is nothing.
 
-    Fresh and stale rows are counted in one grouping. Restricted to the configured zones
-    the grouped side has at most one row per zone, which bounds what is broadcast.
+    ``latest`` has one row per sensor, so sensors are counted without a distinct. Fresh and
+    stale rows are counted in one grouping. Restricted to the configured zones the grouped
+    side has at most one row per zone, which bounds what is broadcast.
     """
     fresh, label = F.col("is_fresh"), F.col("prediction_label")
     stats = (
         latest.filter(f"zone IN ({sql_list(ZONES)})")
         .groupBy("zone")
         .agg(
-            F.count_distinct(F.when(fresh, F.col("sensor_id"))).alias("total"),
+            F.count(F.when(fresh, F.col("sensor_id"))).alias("total"),
             F.count_if(fresh & (label == FIRE)).alias("fire"),
             F.count_if(fresh & (label == FIRE_RISK)).alias("risk"),
             F.avg(F.when(fresh, F.col("temperature"))).alias("temp"),

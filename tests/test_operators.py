@@ -85,6 +85,16 @@ def test_latest_by_id_with_and_without_bound(spark, folder, prune):
     assert newest.count() == rows.select("sensor_id").distinct().count()
 
 
+def test_other_latest_rows_with_and_without_bound(spark, folder):
+    rows = events.predictions(spark, folder).withColumn("timestamp", F.when(F.col("id") % 50 != 0, F.col("timestamp")))
+    records = web.identify(events.api_records(spark, folder))
+    for rank, frame in ((latest.latest_abnormal, rows), (latest.latest_by_time, records)):
+        plain, pruned = rank(frame, prune=False), rank(frame, prune=True)
+        assert sorted(ids(plain)) == sorted(ids(pruned)) and ids(plain)
+    unknown = rows.withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert sorted(ids(latest.latest_abnormal(unknown, prune=True))) == sorted(ids(latest.latest_abnormal(unknown, prune=False)))
+
+
 def test_latest_keeps_a_long_silent_sensor(spark):
     rows = table(spark, prediction(1, sensor_id="old"), *[prediction(n, sensor_id="new") for n in range(2, 50)])
     for prune in (False, True):
