@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from emberwatch.operators.history import history_filter
+from emberwatch.operators.history import history_filter, recent_history
 
 
 def explorer_filter(frame, zone=None, status=None, text=""):
@@ -14,9 +14,9 @@ def explorer_filter(frame, zone=None, status=None, text=""):
     return frame
 
 
-def explorer_page(frame, n=100):
+def explorer_page(frame, n=100, prune=None):
     """The newest matching rows."""
-    return frame.orderBy(F.desc("id")).limit(n)
+    return recent_history(frame, n, prune)
 
 
 def web_filter(records, text="", status="ALL", zone="ALL"):

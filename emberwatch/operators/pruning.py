@@ -34,20 +34,28 @@ def latest_floor(frame, keys, order):
     return frame.groupBy(*keys).agg(F.max(order).alias("newest")).agg(F.min("newest")).scalar()
 
 
-def newest_floor(frame, n, order, bits=_BUCKET_BITS):
+def newest_floor(frame, n, order, bits=_BUCKET_BITS, restore=lambda floor: floor):
     """A value at or below the ``n``-th highest whole number ``order``.
 
     Rows are counted per bucket of 2**bits values with map-side combine. Every counted
     bucket holds a row, so the highest ``n`` buckets hold at least the ``n`` rows wanted,
-    and the running count over them touches at most ``n`` rows.
+    and the running count over them touches at most ``n`` rows. ``restore`` turns the
+    number back into what the table stores, so that the reader can use the bound.
     """
     bucket = F.shiftright(order.cast("bigint"), bits).alias("bucket")
     counts = frame.select(bucket).filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("rows"))
     top = counts.orderBy(F.desc("bucket")).limit(n)
-    before = F.coalesce(F.sum("rows").over(Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    earlier = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
     return (
         top.withColumn("before", before)
         .filter(F.col("before") < n)
-        .agg(F.shiftleft(F.min("bucket"), bits))
+        .agg(restore(F.shiftleft(F.min("bucket"), bits)))
         .scalar()
     )
+
+
+def newest_floor_by_time(frame, n, time):
+    """As ``newest_floor`` for a timestamp column; buckets of 2**10 seconds."""
+    second = F.unix_seconds(time.cast("timestamp"))
+    return newest_floor(frame, n, second, 10, lambda floor: F.timestamp_seconds(floor).cast("timestamp_ntz"))

@@ -4,11 +4,15 @@ from pyspark.sql import functions as F
 
 from emberwatch.constants import TREND_POINTS, TREND_ROWS
 from emberwatch.operators.clean import drop_missing_metric
+from emberwatch.operators.pruning import is_large, newest_floor_by_time
 
 
-def tail_by_time(frame, metric, n=TREND_ROWS):
+def tail_by_time(frame, metric, n=TREND_ROWS, prune=None):
     """The ``n`` latest rows by time that have the metric; ids decide within a second."""
-    return drop_missing_metric(frame, metric).orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
+    rows = drop_missing_metric(frame, metric)
+    if is_large(frame) if prune is None else prune:
+        rows = rows.filter(F.col("timestamp") >= newest_floor_by_time(rows, n, F.col("timestamp")))
+    return rows.orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
 
 
 def metric_trend(frame, metric, rows=TREND_ROWS, points=TREND_POINTS):

@@ -7,7 +7,7 @@ from emberwatch.constants import BREAKDOWN_GROUPS, HISTORY_ROWS, STALE_SECONDS,
 from emberwatch.functions import numbers, places, times
 from emberwatch.functions.labels import connection_state, status_alias, text_for
 from emberwatch.operators.latest import latest_by_time
-from emberwatch.operators.pruning import is_large, newest_floor
+from emberwatch.operators.pruning import is_large, newest_floor_by_time
 from emberwatch.operators.zones import zone_dimension
 from emberwatch.schemas import PROBABILITIES
 
@@ -117,8 +117,7 @@ def web_history_totals(records, shown=HISTORY_ROWS):
 def history_by_time(records, n=HISTORY_ROWS, prune=None):
     """The ``n`` newest records by data time, those without a time last."""
     if is_large(records) if prune is None else prune:
-        second = F.unix_seconds(F.col("order_time").cast("timestamp"))
-        records = records.filter(second >= newest_floor(records, n, second, bits=10))
+        records = records.filter(F.col("order_time") >= newest_floor_by_time(records, n, F.col("order_time")))
     return newest_records(records, n)
 
 

@@ -1,11 +1,7 @@
-"""Session settings and the checkpoint folder."""
-
-import tempfile
+"""Session settings."""
 
 from pyspark.sql import SparkSession
 
-CHECKPOINT_SETTING = "spark.checkpoint.dir"
-
 
 def build_session(app_name="emberwatch", master=None, settings=None):
     """Session with the settings the operators assume.
@@ -28,16 +24,3 @@ def build_session(app_name="emberwatch", master=None, settings=None):
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def ensure_checkpoint_dir(spark):
-    """Use the shared folder the cluster names; only a local session gets its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_SETTING, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="emberwatch-checkpoint-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()

@@ -133,6 +133,14 @@ def test_history_by_time_with_and_without_bound(spark, folder):
         assert ids(web.history_by_time(records, n, prune=True)) == ids(web.history_by_time(records, n, prune=False))
 
 
+def test_tail_with_and_without_bound(spark, folder):
+    rows = events.predictions(spark, folder)
+    for n in (1, 40, 5000):
+        assert ids(trend.tail_by_time(rows, "temperature", n, prune=True)) == ids(trend.tail_by_time(rows, "temperature", n, prune=False))
+    matching = explore.explorer_filter(rows, "Phong_May")
+    assert ids(explore.explorer_page(matching, 9, prune=True)) == ids(explore.explorer_page(matching, 9, prune=False))
+
+
 def test_size_estimate(spark, folder):
     rows = events.predictions(spark, folder)
     assert 0 < estimated_bytes(rows) < 10**7
