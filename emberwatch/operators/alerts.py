@@ -73,23 +73,22 @@ def alert_index(groups):
     return joined.withColumn("alert_number", F.col("offset") + F.col("place")).drop("hash", "bucket", "place", "offset")
 
 
-def alert_sensor_text(prefix=K.ALERT_FIELDS):
+def _or_not_available(name):
+    return F.coalesce(F.col(name).cast("string"), F.lit(K.NOT_AVAILABLE))
+
+
+def alert_sensor_text():
     """The text block of one sensor, as a column over alert rows."""
     c = F.col
-    def or_na(name):
-        return F.coalesce(c(name).cast("string"), F.lit(K.NOT_AVAILABLE))
-
     shown = {
-        "sensor_id": or_na("sensor_id"),
-        "zone": or_na("zone"),
-        "timestamp": or_na("timestamp"),
+        **{name: _or_not_available(name) for name in ("sensor_id", "zone", "timestamp")},
         "temperature": display.display_measure(c("temperature"), K.UNIT_TEMPERATURE),
         **{name: display.display_measure(c(name), K.UNIT_PPM) for name in _MEASURES[1:]},
         "status": resolve_status(c("prediction_label"), c("prediction")),
         "probability_fire": display.display_probability(c("probability_fire")),
         "probability_risk": display.display_probability(c("probability_risk")),
     }
-    return F.concat_ws("\n", *[F.concat(F.lit(text), shown[name]) for name, text in prefix.items()])
+    return F.concat_ws("\n", *[F.concat(F.lit(text), shown[name]) for name, text in K.ALERT_FIELDS.items()])
 
 
 def _per_severity(texts):
@@ -99,7 +98,8 @@ def _per_severity(texts):
 def alert_header():
     """Severity title, number of sensors and advice, as a column over numbered alert rows."""
     before, after = K.ALERT_FOUND.split("{n}")
-    found = F.concat(F.lit(before), F.col("sensors").cast("string"), F.replace(F.lit(after), F.lit("{severity}"), F.col("severity")))
+    ending = F.replace(F.lit(after), F.lit("{severity}"), F.col("severity"))
+    found = F.concat(F.lit(before), F.col("sensors").cast("string"), ending)
     return F.concat_ws("\n", _per_severity(K.ALERT_TITLE), F.lit(""), found, _per_severity(K.ALERT_ADVICE), F.lit(""))
 
 

@@ -38,6 +38,7 @@ def status_kpis(latest):
 
     ``latest`` has one row per sensor, so its rows count its sensors.
     """
+
     def fresh(label):
         return F.count_if(F.col("is_fresh") & (F.col("prediction_label") == label))
 
