@@ -10,14 +10,13 @@ fixed order of shingles, linked sets share a shingle among their first few, so o
 are posted. The boundary is the size at which the subsets of all light sets, counted from
 the histogram of sizes, and the scanning of the other lists cost least together.
 
-Order of shingles: those of the counted share of the hash space with a low document count
-first, then the uncounted, then the counted ones that are frequent. It decides the cost
-only; results do not depend on it.
+Order of shingles: rare ones first, so that what is special to a document stands before
+what it shares with many. It decides the cost only; results do not depend on it.
 
 No list is expanded into all its pairs. Members are first verified against two hubs per
 list; this connects groups of copies with as many pairs as members. Only members of one
-list that still lie in different components are then paired and verified, so that no link
-which would connect anything is lost.
+list that still lie in different components are then paired, if sizes and places in the
+order leave enough overlap possible, and verified. No link that connects anything is lost.
 """
 
 import math
@@ -31,12 +30,10 @@ from emberwatch.llm import hashing
 from emberwatch.llm.common import kept, sized
 from emberwatch.llm.components import components
 
-#: Share of the hash space in which document counts are taken, in 256ths.
-COUNTED = 77
-#: Counted shingles in more documents than this are moved to the end of the order.
+#: Shingles in more documents than this are moved to the end of the order.
 FREQUENT = 8
-#: Most of them that are told apart; the more frequent come first. Bounds the broadcast.
-FREQUENT_KEPT = 1 << 18
+#: Most of them that are moved, the more frequent first. Bounds the broadcast.
+FREQUENT_KEPT = 1 << 19
 #: Largest set that can be light: larger ones would emit more than this many subsets.
 SUBSETS = 4096
 #: Cost of a posting in an inverted list, with the verification that follows, in subsets.
@@ -130,16 +127,12 @@ def _describe(width):
     return rows
 
 
-def _is_counted(hashes):
-    return (hashes >> np.uint64(56)) < COUNTED
-
-
 def _counted(width):
     def rows(batches):
         for batch in batches:
             found, size = [], 0
             for _, hashes in _sets(batch, width):
-                found.append(hashes[_is_counted(hashes)])
+                found.append(hashes)
                 size += len(found[-1])
                 if size > hashing.SLICE:
                     yield pa.RecordBatch.from_arrays([pa.array(hashing.signed(np.concatenate(found)))], ["shingle"])
@@ -151,12 +144,25 @@ def _counted(width):
 
 
 def in_order(hashes, frequent):
-    """The set in the order of shingles that all sets share."""
-    counted = _is_counted(hashes)
-    place = np.minimum(np.searchsorted(frequent, hashes), max(len(frequent) - 1, 0))
-    known = frequent[place] == hashes if len(frequent) else np.zeros(len(hashes), bool)
-    rank = np.where(counted, np.where(known, 2, 0), 1)
-    return hashes[np.lexsort((hashes, rank))]
+    """The set in the order of shingles that all sets share; ``frequent`` is sorted."""
+    if not len(frequent):
+        return hashes
+    place = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+    return hashes[np.lexsort((hashes, frequent[place] == hashes))]
+
+
+def frequent_shingles(counts):
+    """The most frequent of ``counts`` (shingle, count), at most ``FREQUENT_KEPT`` of them."""
+    level = F.floor(F.log2("count") * 8).cast("int")
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("shingles")).collect()
+    least, total = 1 << 30, 0
+    for row in sorted(levels, key=lambda row: -row["level"]):
+        total += row["shingles"]
+        if total > FREQUENT_KEPT:
+            break
+        least = row["level"]
+    chosen = counts.filter(level >= least).select("shingle").toArrow().column("shingle")
+    return np.sort(chosen.to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _subset_keys(hashes, low_size, high_size, threshold):
@@ -176,10 +182,11 @@ def _subset_keys(hashes, low_size, high_size, threshold):
 
 
 def _post(width, threshold, boundary, frequent):
-    """Postings (key, cls, size, leads): subsets of light sets, first shingles of others.
+    """Postings (key, cls, size, place, leads): subsets of light sets, first shingles of others.
 
-    ``leads`` is null in inverted lists; in lists of subsets it marks the smaller size of
-    the pair, whose members are linked with all others of the list.
+    ``place`` is that of the shingle in its set. ``leads`` is null in inverted lists; in
+    lists of subsets it marks the smaller size of the pair, whose members are linked with
+    all others of the list.
     """
 
     def rows(batches):
@@ -194,9 +201,10 @@ def _post(width, threshold, boundary, frequent):
                         pa.array(hashing.signed(np.concatenate(keys))),
                         pa.array(np.repeat(np.array(classes, object), counts).tolist(), pa.binary()),
                         pa.array(np.repeat(sizes, counts).astype(np.int64)),
+                        pa.array(np.concatenate([np.arange(count) for count in counts]).astype(np.int32)),
                         pa.array(np.repeat(np.array(leads, object), counts).tolist(), pa.bool_()),
                     ],
-                    ["key", "cls", "size", "leads"],
+                    ["key", "cls", "size", "place", "leads"],
                 )
 
             for _, hashes in _sets(batch, width):
@@ -282,8 +290,8 @@ def _verified(pairs, classes, docs, width, threshold):
     )
     near = kept(near)
     wanted = near.select(F.col("a").alias("cls")).unionAll(near.select(F.col("b").alias("cls"))).distinct()
-    ids = kept(classes.join(wanted, "cls", "left_semi").select("doc_id"))
-    texts = docs.join(sized(ids), "doc_id", "left_semi")
+    ids = kept(classes.join(wanted, "cls", "left_semi").select(F.col("doc_id").alias("id")))
+    texts = docs.join(sized(ids), docs["doc_id"].eqNullSafe(F.col("id")), "left_semi")
     # doc ids can repeat, and so can classes then: one set of each class is enough
     sets = texts.mapInArrow(_wanted_sets(width), "cls binary, items array<long>").join(wanted, "cls", "left_semi")
     sets = kept(sets.groupBy("cls").agg(F.first("items").alias("items")))
@@ -313,47 +321,59 @@ def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     spark = docs.sparkSession
 
     counts = docs.mapInArrow(_counted(width), "shingle long").groupBy("shingle").count()
-    counts = counts.filter(F.col("count") > FREQUENT)
-    top = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT_KEPT).toArrow()
-    frequent = np.sort(top.column("shingle").to_numpy().astype(np.int64).view(np.uint64))
+    frequent = frequent_shingles(kept(counts.filter(F.col("count") > FREQUENT)))
     histogram = {row["size"]: row["count"] for row in classes.filter(F.col("size") <= 128).groupBy("size").count().collect()}
     boundary = light_boundary(histogram, threshold)
 
     frequent = spark.sparkContext.broadcast(frequent)
-    postings = docs.mapInArrow(_post(width, threshold, boundary, frequent), "key long, cls binary, size long, leads boolean").distinct()
+    postings = docs.mapInArrow(_post(width, threshold, boundary, frequent), "key long, cls binary, size long, place int, leads boolean").distinct()
     postings = postings.withColumn("subsets", F.col("leads").isNotNull())
     lists = postings.groupBy("key", "subsets").count().filter("count > 1").drop("count")
     members = kept(postings.join(lists, ["key", "subsets"], "left_semi"))
-    lead = F.when(F.coalesce("leads", F.lit(True)), F.col("cls"))
-    hubs = members.groupBy("key", "subsets").agg(F.min(lead).alias("low"), F.max(lead).alias("high"))
-    members = kept(members.join(hubs.filter("low IS NOT NULL"), ["key", "subsets"]))
+    # hubs are those with the fewest rare shingles of their own before the common one
+    lead = F.when(F.coalesce("leads", F.lit(True)), F.struct(F.col("place"), F.col("cls")))
+    far = F.when(F.coalesce("leads", F.lit(True)), F.struct(-F.col("place"), F.col("cls")))
+    hubs = members.groupBy("key", "subsets").agg(F.min(lead).alias("low"), F.max(far).alias("high"))
+    hubs = hubs.filter("low IS NOT NULL").select("key", "subsets", F.col("low.cls").alias("low"), F.col("high.cls").alias("high"))
+    members = kept(members.join(hubs, ["key", "subsets"]))
 
     sure = _as_pairs(members.filter("subsets"), "low", "cls")
-    scanned = members.filter("NOT subsets").select("key", "cls", "size", "low", "high")
-    hubs = _as_pairs(scanned, "low", "cls").unionAll(_as_pairs(scanned, "high", "cls"))
-    first = _verified(hubs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), classes, docs, width, threshold)
-    links = kept(sure.unionAll(first))
+    scanned = members.filter("NOT subsets").select("key", "cls", "size", "place", "low", "high")
+    tried = _as_pairs(scanned, "low", "cls").unionAll(_as_pairs(scanned, "high", "cls"))
+    tried = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = kept(sure.unionAll(_verified(tried, classes, docs, width, threshold)))
 
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     places = scanned.join(roots, scanned["cls"] == roots["node"], "left").select(
-        "key", "cls", "size", "low", "high", F.coalesce("root", "cls").alias("root")
+        "key", "cls", "size", "place", "low", "high", F.coalesce("root", "cls").alias("root")
     )
     # lists whose members all lie in one component have nothing more to give
     spread = places.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other")
     open_lists = kept(places.join(spread.select("key"), "key", "left_semi"))
-    left, right = open_lists.alias("l"), open_lists.alias("r")
-    q, p = threshold.denominator, threshold.numerator
-    apart = (
-        (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.root") < F.col("r.root"))
-        & (q * F.least("l.size", "r.size") >= p * F.greatest("l.size", "r.size"))
-        & ~F.col("l.cls").isin(F.col("r.low"), F.col("r.high"))
-        & ~F.col("r.cls").isin(F.col("l.low"), F.col("l.high"))
-    )
-    rest = left.join(right, apart).select(F.greatest("l.cls", "r.cls").alias("a"), F.least("l.cls", "r.cls").alias("b")).distinct()
+    rest = _open_pairs(open_lists, threshold)
     return described, classes, kept(links.unionAll(_verified(rest, classes, docs, width, threshold)))
 
 
+def _open_pairs(lists, threshold):
+    """Pairs of one list in different components that can still be links.
+
+    The first shingle that two linked sets share leaves room for their overlap behind it in
+    both. For the smaller set this holds within a shorter prefix, whatever the partner.
+    """
+    p, q = threshold.numerator, threshold.denominator
+    need = f"({p} * (l_size + r_size) + {p + q - 1}) div {p + q}"
+    own = f"size - ({2 * p} * size + {p + q - 1}) div {p + q}"
+    small = lists.filter(f"place <= {own}").select("key", *[F.col(name).alias(f"l_{name}") for name in lists.columns[1:]])
+    large = lists.select("key", *[F.col(name).alias(f"r_{name}") for name in lists.columns[1:]])
+    fits = F.expr(
+        f"l_root != r_root AND (l_size < r_size OR l_size = r_size AND l_cls < r_cls) AND {q} * l_size >= {p} * r_size"
+        f" AND least(l_size - l_place, r_size - r_place) >= {need}"
+        " AND l_cls NOT IN (r_low, r_high) AND r_cls NOT IN (l_low, l_high)"
+    )
+    pairs = small.join(large.withColumnRenamed("key", "r_key"), (F.col("key") == F.col("r_key")) & fits)
+    return pairs.select(F.greatest("l_cls", "r_cls").alias("a"), F.least("l_cls", "r_cls").alias("b")).distinct()
+
+
 def near_duplicate_components(docs, width=5, threshold=Fraction(4, 5)):
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 

@@ -4,7 +4,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from emberwatch.llm import jaccard_join
+from emberwatch.llm import jaccard_join, suffix_dedup
 from emberwatch.llm.common import table
 
 
@@ -13,7 +13,12 @@ def op8_jaccard_join(spark, folder):
     return jaccard_join.near_duplicate_components(docs, width=3, threshold=Fraction(9, 10))
 
 
+def op3_suffix_dedup(spark, folder):
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=100).drop("spans", "kept")
+
+
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op8_jaccard_join": op8_jaccard_join,
 }
 ORACLES = {}
