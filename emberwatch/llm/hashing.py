@@ -23,6 +23,8 @@ def mix(values):
 
 
 CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: Everything but letters, digits and bytes beyond ASCII: what separates terms.
+_BETWEEN_TERMS = np.array([not (chr(byte).isalnum() or byte > 127) for byte in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 LOWER_CODES = CODES[_LOWER]
@@ -73,8 +75,8 @@ def row_slices(offsets, size=SLICE):
         first = last
 
 
-def _word_bounds(data, row_starts):
-    inside = ~_SPACES[data]
+def _word_bounds(data, row_starts, between):
+    inside = ~between[data]
     before = np.empty(len(data), bool)
     before[:1] = False
     before[1:] = inside[:-1]
@@ -87,10 +89,9 @@ def _word_bounds(data, row_starts):
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def word_spans(data, offsets):
-    """Starts and ends of all words, and the row of each."""
-    starts, ends = _word_bounds(data, offsets)
-    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+def word_spans(data, offsets, terms=False):
+    """Starts and ends of all words; with ``terms``, punctuation separates words too."""
+    return _word_bounds(data, offsets, _BETWEEN_TERMS if terms else _SPACES)
 
 
 def _cuts(starts, ends, length, size):
@@ -113,13 +114,13 @@ def word_hashes(data, starts, ends, codes=LOWER_CODES):
     return hashes
 
 
-def texts_of_words(column, size=SLICE):
+def texts_of_words(column, terms=False, size=SLICE):
     """For slices of rows: first row, row count, word hashes, offsets of the rows into them."""
     data, offsets = column_bytes(column)
     for first, last in row_slices(offsets, size):
         low, high = offsets[first], offsets[last]
         part = data[low:high]
-        starts, ends, _ = word_spans(part, offsets[first : last + 1] - low)
+        starts, ends = word_spans(part, offsets[first : last + 1] - low, terms)
         bounds = np.searchsorted(starts, offsets[first : last + 1] - low)
         yield first, last - first, word_hashes(part, starts, ends), bounds
 

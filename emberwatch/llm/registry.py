@@ -4,8 +4,31 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from emberwatch.llm import jaccard_join, suffix_dedup
+from emberwatch.llm import decontaminate, jaccard_join, mixing, pii, sharding, suffix_dedup, toxicity
 from emberwatch.llm.common import table
+from emberwatch.llm.oracles import ORACLES
+
+__all__ = ["QUERIES", "ORACLES"]
+
+
+def op1_decontaminate(spark, folder):
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_key")
+
+
+def op3_suffix_dedup(spark, folder):
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=100).drop("spans", "kept")
+
+
+def op6_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    machine = toxicity.fit(toxicity.labelled_texts(docs, table(spark, folder, "labels")))
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op7_pii(spark, folder):
+    return pii.digest(pii.find_personal_data(table(spark, folder, "documents")))
 
 
 def op8_jaccard_join(spark, folder):
@@ -13,12 +36,27 @@ def op8_jaccard_join(spark, folder):
     return jaccard_join.near_duplicate_components(docs, width=3, threshold=Fraction(9, 10))
 
 
-def op3_suffix_dedup(spark, folder):
-    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=100).drop("spans", "kept")
+def op9_mixing(spark, folder):
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op10_sharding(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("size", sharding.byte_size(F.col("text")))
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))).withColumn("sort_text", sharding.sort_key(F.col("text"), F.col("doc_id")))
+    sharded = sharding.shard_keyed(docs.select("doc_id", "size", "text_crc32", "sort_text"), "sort_text", "size", shards=16)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_mixing": op9_mixing,
+    "op10_sharding": op10_sharding,
 }
-ORACLES = {}
