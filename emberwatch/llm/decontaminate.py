@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from emberwatch.llm import hashing
-from emberwatch.llm.common import kept
+from emberwatch.llm.common import free_name, kept, sized
 
 
 @dataclass(frozen=True)
@@ -225,3 +225,12 @@ def contaminated(docs, benchmark, settings=None):
         seeds = spark.sparkContext.broadcast((block, block.seeds(counts)))
         found = found.unionAll(docs.mapInArrow(_aligner(seeds), _RESULT))
     return found
+
+
+def without_contaminated(docs, benchmark, settings=None):
+    """The rows of ``docs`` that hold no test item, unchanged."""
+    found = kept(contaminated(docs, benchmark, settings).select(F.col("doc_id").alias("bad_id"), "text_key").distinct())
+    key = free_name(docs, "text_key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(found["bad_id"]) & (keyed[key] == found["text_key"])
+    return keyed.join(sized(found), same, "left_anti").select(*docs.columns)

@@ -24,10 +24,10 @@ def mix(values):
 
 CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 #: Everything but letters, digits and bytes beyond ASCII: what separates terms.
-_BETWEEN_TERMS = np.array([not (chr(byte).isalnum() or byte > 127) for byte in range(256)])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-LOWER_CODES = CODES[_LOWER]
+BETWEEN_TERMS = np.array([not (chr(byte).isalnum() or byte > 127) for byte in range(256)])
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+LOWER_CODES = CODES[LOWER]
 
 _powers = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
@@ -91,7 +91,7 @@ def _word_bounds(data, row_starts, between):
 
 def word_spans(data, offsets, terms=False):
     """Starts and ends of all words; with ``terms``, punctuation separates words too."""
-    return _word_bounds(data, offsets, _BETWEEN_TERMS if terms else _SPACES)
+    return _word_bounds(data, offsets, BETWEEN_TERMS if terms else _SPACES)
 
 
 def _cuts(starts, ends, length, size):

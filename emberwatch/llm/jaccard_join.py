@@ -120,8 +120,8 @@ def _describe(width):
             for row, hashes in _sets(batch, width):
                 sizes[row], keys[row], bins[row] = len(hashes), _class_key(hashes), _bins(hashes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(bins, pa.binary())],
-                ["doc_id", "size", "cls", "bins"],
+                [*batch.columns[:2], pa.array(sizes), pa.array(keys, pa.binary()), pa.array(bins, pa.binary())],
+                ["doc_id", "text_key", "size", "cls", "bins"],
             )
 
     return rows
@@ -309,13 +309,13 @@ def _as_pairs(frame, one, two):
 def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     """Classes of equal sets, and enough links between them to give all components.
 
-    Returns ``described`` (doc_id, size, cls; null cls for documents without words),
+    Returns ``described`` (doc_id, text_key, size, cls; null cls for documents without words),
     ``classes`` (cls, size, bins, doc_id: its smallest) and ``links`` (a, b), every one of
     which reaches the threshold exactly. Links that connect nothing new may be missing.
     """
     threshold = Fraction(threshold)
-    docs = docs.select("doc_id", "text")
-    described = kept(docs.mapInArrow(_describe(width), "doc_id long, size long, cls binary, bins binary"))
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    described = kept(docs.mapInArrow(_describe(width), "doc_id long, text_key long, size long, cls binary, bins binary"))
     full = described.filter("cls IS NOT NULL")
     classes = kept(full.groupBy("cls").agg(F.max("size").alias("size"), F.max("bins").alias("bins"), F.min("doc_id").alias("doc_id")))
     spark = docs.sparkSession
@@ -374,6 +374,14 @@ def _open_pairs(lists, threshold):
     return pairs.select(F.greatest("l_cls", "r_cls").alias("a"), F.least("l_cls", "r_cls").alias("b")).distinct()
 
 
+def _with_roots(docs, width, threshold):
+    """``described``, and for every class its root, the lowest class of its component."""
+    described, classes, links = jaccard_links(docs, width, threshold)
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    placed = classes.join(roots, classes["cls"] == roots["node"], "left")
+    return described, kept(placed.select("cls", "doc_id", F.coalesce("root", "cls").alias("root")))
+
+
 def near_duplicate_components(docs, width=5, threshold=Fraction(4, 5)):
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -383,12 +391,32 @@ def near_duplicate_components(docs, width=5, threshold=Fraction(4, 5)):
     doc_id nothing is known but its links: it never becomes the smallest of others.
     An empty table gives no rows; other columns are ignored.
     """
-    described, classes, links = jaccard_links(docs, width, threshold)
-    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    placed = kept(placed)
+    described, placed = _with_roots(docs, width, threshold)
     lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = placed.join(lowest, "root").select("cls", "component_id")
     return described.join(named, "cls", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def without_near_duplicates(docs, width=5, threshold=Fraction(4, 5)):
+    """One row of ``docs`` of each component, unchanged: that with the smallest doc_id.
+
+    Of rows that share it, that with the lowest hash of the text stays, and of equal texts
+    the row that is smallest in all columns. Rows without words all stay.
+    """
+    described, placed = _with_roots(docs, width, threshold)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    keys = described.join(placed.select("cls", "root"), "cls")
+    best = keys.groupBy("root").agg(F.min(key).alias("best")).select("best.doc_id", "best.text_key", F.lit(True).alias("single"))
+    bare = described.filter("cls IS NULL").select("doc_id", "text_key", F.lit(False).alias("single")).distinct()
+    chosen = best.unionAll(bare).select(F.col("doc_id").alias("best_id"), F.col("text_key").alias("best_key"), "single")
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("text_key"))
+    chosen = kept(chosen)
+    same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_key") == F.col("best_key"))
+    rows = rows.join(sized(chosen), same)
+    repeated = described.filter("cls IS NOT NULL").groupBy("doc_id", "text_key").count().filter("count > 1")
+    if not repeated.isEmpty():
+        singles = rows.filter("single").groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
+        rows = singles.select("row").unionAll(rows.filter("NOT single").select("row"))
+    return rows.select("row.*")

@@ -55,22 +55,22 @@ def source_targets(sources, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS):
     return rows.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed="mix"):
+def mix(docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed="mix", carry=False):
     """What the mix takes of each row of ``docs`` (doc_id, text, source).
 
     Gives doc_id, text_key (a hash of the text), source, size (words), source_size, target,
     taken (words, repeats counted), copies (how often the document is used, a started one
     counting from half of its words on) and part (where its source ends, the words that the
     last, cut copy has; else null). Of every source exactly its target, rounded, is taken.
+    With ``carry``, ``row`` holds all columns of the document as well.
 
     Null texts have no words. Documents without words take nothing; they are used as often
     as those around them. Rows with equal doc_id and text stand side by side in the order
     and are counted one by one. A null source is a source. An empty table gives no rows.
     """
-    rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), "source", word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed=seed).alias("key")
-    )
-    rows = kept(rows)
+    size, key = word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), seed=seed).alias("key")
+    row = [F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")] if carry else []
+    rows = kept(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "source", size, key, *row))
     bucket = F.shiftright("key", _KEY_BITS - _BUCKET_BITS).alias("bucket")
     buckets = kept(rows.groupBy("source", bucket).agg(F.sum("size").alias("words"), F.count("*").alias("rows")))
     sources = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -102,4 +102,11 @@ def mix(docs, weights=WEIGHTS, share=SHARE, most=MOST_REPEATS, seed="mix"):
         (F.col("whole") * F.col("size") + F.col("rest")).alias("taken"),
         (F.col("whole") + started).alias("copies"),
         cut.alias("part"),
+        *[F.col("row") for _ in row],
     )
+
+
+def mixed_documents(docs, **options):
+    """The rows of ``docs`` as the mix uses them, whole: as often as ``copies`` says."""
+    mixed = mix(docs, carry=True, **options).filter("copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

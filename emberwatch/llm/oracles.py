@@ -63,5 +63,30 @@ SELECT doc_id, size,
        'bytes' AS law, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS BIGINT) AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM sharded, bits
+""",
+    "op4_chat": """
+WITH turns AS (
+    SELECT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE regexp_replace(role, '[^A-Za-z0-9_.-]', '_', 'g') END AS speaker,
+           replace(coalesce(text, ''), '<|', '< |') AS body
+    FROM conversations
+), casts AS (
+    SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'
+), seen AS (
+    SELECT t.*, c.perspective,
+           CASE WHEN speaker = 'system' THEN '<|im_start|>system' || chr(10)
+                WHEN speaker = perspective THEN '<|im_start|>assistant' || chr(10)
+                ELSE '<|im_start|>user name=' || speaker || chr(10) END AS head
+    FROM turns t JOIN casts c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+), placed AS (
+    SELECT *, row_number() OVER w - 1 AS position,
+           coalesce(sum(length(head) + length(body) + 11) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM seen
+    WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, body)
+)
+SELECT conv_id, perspective, position, turn, speaker, head || body || '<|im_end|>' || chr(10) AS piece,
+       CAST(start AS BIGINT) AS start, CAST(start + length(head) + length(body) + 11 AS BIGINT) AS "end",
+       CASE WHEN speaker = perspective THEN CAST(start + length(head) AS BIGINT) END AS learn_start,
+       CASE WHEN speaker = perspective THEN CAST(start + length(head) + length(body) + 10 AS BIGINT) END AS learn_end
+FROM placed
 """,
 }

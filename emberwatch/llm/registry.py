@@ -4,7 +4,7 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from emberwatch.llm import decontaminate, jaccard_join, mixing, pii, sharding, suffix_dedup, toxicity
+from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pii, sharding, suffix_dedup, toxicity
 from emberwatch.llm.common import table
 from emberwatch.llm.oracles import ORACLES
 
@@ -16,10 +16,22 @@ def op1_decontaminate(spark, folder):
     return found.drop("text_key")
 
 
+def op2_nearest(spark, folder):
+    return nearest.nearest(table(spark, folder, "embeddings"))
+
+
 def op3_suffix_dedup(spark, folder):
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=100).drop("spans", "kept")
 
 
+def op4_chat(spark, folder):
+    return chat.perspectives(table(spark, folder, "conversations"))
+
+
+def op5_language(spark, folder):
+    return language.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def op6_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     machine = toxicity.fit(toxicity.labelled_texts(docs, table(spark, folder, "labels")))
@@ -53,7 +65,10 @@ def op10_sharding(spark, folder):
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_nearest": op2_nearest,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_chat": op4_chat,
+    "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op8_jaccard_join": op8_jaccard_join,

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from emberwatch.llm import hashing
 from emberwatch.llm.common import free_name
@@ -144,32 +145,40 @@ def _descend(machine, row, terms, labels):
             machine.factors -= settings.rate * factors / np.sqrt(past[2])
 
 
-def _scorer(machine, text, broadcast):
+def _scorer(machine, text, drop, broadcast):
     def rows(batches):
         model = broadcast.value
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for first, count, row, terms in hashed_terms(batch.column(text), model.settings.hash_bits, model.places):
                 scores[first : first + count] = model.score_rows(row, terms, count)
-            arrays = [column for column, name in zip(batch.columns, batch.schema.names) if name != text]
-            names = [name for name in batch.schema.names if name != text]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores)], [*names, "score"])
+            arrays = batch.columns[:-1] if drop else batch.columns
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores)], [str(number) for number in range(len(arrays) + 1)])
 
     return rows
 
 
-def score(docs, machine, text="text", keep=("doc_id",)):
+def score(docs, machine, text="text", keep=("doc_id",), name="score", decision="predicted"):
     """The columns ``keep`` of every row of ``docs``, ``score`` (0 to 1) and ``predicted``.
 
     Null and empty texts and those without known terms get the score of no terms, that is
     of the bias alone. Repeated rows get equal scores; an empty table gives no rows.
+    ``name`` and ``decision`` name the two columns where those names are taken.
     """
-    body = free_name(docs.select(*keep), "fm_text")
-    frame = docs.select(*keep, F.col(text).alias(body))
-    kinds = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*keep).dtypes)
+    drop = text not in keep
+    body = free_name(docs.select(*keep), "fm_text") if drop else text
+    frame = docs.select(*keep, F.col(text).alias(body)) if drop else docs.select(*keep)
+    schema = StructType([*docs.select(*keep).schema.fields, StructField(name, DoubleType())])
     broadcast = docs.sparkSession.sparkContext.broadcast(machine)
-    scored = frame.mapInArrow(_scorer(machine, body, broadcast), f"{kinds}, score double")
-    return scored.withColumn("predicted", (F.col("score") >= machine.settings.threshold).cast("int"))
+    scored = frame.mapInArrow(_scorer(machine, body, drop, broadcast), schema)
+    return scored.withColumn(decision, (F.col(name) >= machine.settings.threshold).cast("int"))
+
+
+def without_toxic(docs, machine):
+    """The rows of ``docs`` that the machine does not predict to be toxic, unchanged."""
+    name, decision = free_name(docs, "score"), free_name(docs, "predicted")
+    scored = score(docs, machine, keep=tuple(docs.columns), name=name, decision=decision)
+    return scored.filter(F.col(decision) == 0).select(*docs.columns)
 
 
 def is_held_out(doc_id):
