@@ -92,15 +92,15 @@ def _signal(rows, terms, labels, size):
 def fit(labelled, settings=None):
     """Fits the machine on ``labelled`` (doc_id, text, label 0 or 1).
 
-    At most ``sample_rows`` rows, those with the lowest hash of doc_id, are read by the
+    At most ``sample_rows`` rows, those with the lowest hash of their terms, are read by the
     driver, as numbers of hashed terms. Rows without a label take no part. Without any
     labelled row, or with one label only, all scores are its smoothed share.
     """
     settings = settings or Settings()
     size = 1 << settings.hash_bits
-    rows = labelled.filter("label IS NOT NULL").select(F.xxhash64("doc_id").alias("place"), "doc_id", "label", "text")
-    rows = rows.orderBy("place", "doc_id", "label").limit(settings.sample_rows).select("label", "text")
-    table = rows.mapInArrow(_term_lists(settings.hash_bits), "label int, terms array<int>").toArrow().combine_chunks()
+    rows = labelled.filter("label IS NOT NULL").select("label", "text")
+    rows = rows.mapInArrow(_term_lists(settings.hash_bits), "label int, terms array<int>")
+    table = rows.orderBy(F.xxhash64("terms"), "label").limit(settings.sample_rows).toArrow().combine_chunks()
     labels = np.asarray(table.column("label").combine_chunks(), dtype=float) if table.num_rows else np.zeros(0)
     lists = table.column("terms").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
     row = np.repeat(np.arange(len(labels)), np.asarray(lists.value_lengths(), dtype=np.int64))
@@ -186,8 +186,11 @@ def is_held_out(doc_id):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
-def labelled_texts(docs, labels):
-    """(doc_id, text, label) of labelled rows that may be learned; of repeated labels the highest."""
+def labelled_texts(docs, labels, settings=None):
+    """(doc_id, text, label) of labelled rows that may be learned, ``sample_rows`` at most.
+
+    Labels are chosen by the lowest hash of doc_id; of repeated labels the highest counts.
+    """
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    marks = marks.filter(~is_held_out("doc_id"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    marks = marks.filter(~is_held_out("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit((settings or Settings()).sample_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
