@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 #: Rows of a narrow side up to which it is broadcast; above, Spark shuffles both sides.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 def table(spark, folder, name):

@@ -6,7 +6,7 @@ size of its source takes all documents once or more and the rest from the front
 
 Running totals are distributed: documents fall into buckets by the leading bits of their
 key, bucket totals are added up over the few buckets of a source, and only within a bucket
-rows are added one by one. A source with a third of all rows is thus cut into 4096 parts.
+rows are added one by one. A source with a third of all rows is thus cut into 1024 parts.
 """
 
 from pyspark.sql import Window
@@ -19,7 +19,7 @@ SHARE = 1.5
 MOST_REPEATS = 2.0
 WORDS = r"[^\x20\x09-\x0D]+"
 _KEY_BITS = 60
-_BUCKET_BITS = 12
+_BUCKET_BITS = 10
 
 
 def word_count(text):
