@@ -223,6 +223,7 @@ _PLACE = ["doc", "tag", "anchor"]
 def _ranked(frame, group, equal):
     """Adds ``first`` (one row of each set of equals in ``group``), ``repeats`` (there is an
     earlier equal) and ``different`` (how many sets of equals the group has)."""
+    frame = frame.repartition(*group)  # one exchange for both windows
     order = Window.partitionBy(*group, *equal).orderBy(*_PLACE)
     place = F.struct(*_PLACE)
     ranked = frame.withColumn("number", F.row_number().over(order)).withColumn("repeats", place != F.first(place).over(order))
