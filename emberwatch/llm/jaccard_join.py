@@ -39,6 +39,8 @@ SUBSETS = 4096
 #: Cost of a posting in an inverted list, with the verification that follows, in subsets.
 POSTING_COST = 9
 BINS = 32
+#: Rows or shingles that a task hands on at once.
+_ROWS_AT_ONCE = 1 << 17
 
 
 def overlap(s, t, threshold):
@@ -134,7 +136,7 @@ def _counted(width):
             for _, hashes in _sets(batch, width):
                 found.append(hashes)
                 size += len(found[-1])
-                if size > hashing.SLICE:
+                if size > _ROWS_AT_ONCE:
                     yield pa.RecordBatch.from_arrays([pa.array(hashing.signed(np.concatenate(found)))], ["shingle"])
                     found, size = [], 0
             if size:
@@ -192,7 +194,7 @@ def _post(width, threshold, boundary, frequent):
     def rows(batches):
         frequent_keys = frequent.value if hasattr(frequent, "value") else frequent
         for batch in batches:
-            keys, classes, sizes, leads = [], [], [], []
+            keys, classes, sizes, leads, total = [], [], [], [], 0
 
             def flush():
                 counts = [len(part) for part in keys]
@@ -222,26 +224,35 @@ def _post(width, threshold, boundary, frequent):
                     classes.append(name)
                     sizes.append(size)
                     leads.append(lead)
-                if len(keys) > 2000:
+                    total += len(part)
+                if total > _ROWS_AT_ONCE:
                     yield flush()
-                    keys, classes, sizes, leads = [], [], [], []
+                    keys, classes, sizes, leads, total = [], [], [], [], 0
             if keys:
                 yield flush()
 
     return rows
 
 
+def _set_rows(keys, sets):
+    offsets = np.concatenate([[0], np.cumsum([len(part) for part in sets])]).astype(np.int32)
+    values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), values], ["cls", "items"])
+
+
 def _wanted_sets(width):
     def rows(batches):
         for batch in batches:
-            keys, sets = [], []
+            keys, sets, total = [], [], 0
             for _, hashes in _sets(batch, width):
                 keys.append(_class_key(hashes))
                 sets.append(hashing.signed(hashes))
+                total += len(hashes)
+                if total > _ROWS_AT_ONCE:
+                    yield _set_rows(keys, sets)
+                    keys, sets, total = [], [], 0
             if keys:
-                offsets = np.concatenate([[0], np.cumsum([len(part) for part in sets])]).astype(np.int32)
-                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), values], ["cls", "items"])
+                yield _set_rows(keys, sets)
 
     return rows
 
