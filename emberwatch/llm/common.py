@@ -22,12 +22,18 @@ def shared_folder(spark):
     return context.getCheckpointDir()
 
 
-def kept(frame):
+def kept(frame, release=False):
     """The rows of ``frame`` as a table in the shared folder. It cuts lineage, and a lost
-    executor costs nothing that was kept."""
+    executor costs nothing that was kept.
+
+    With ``release``, the shuffle files that made the table are freed now. Nothing reads
+    them any more, but Spark deletes them only when the driver collects its garbage.
+    """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
+    if release:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ on the length of a text or of a batch; only the word hashes of one text are held
 
 import numpy as np
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _SPACES = np.zeros(256, bool)

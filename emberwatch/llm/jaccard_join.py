@@ -305,7 +305,7 @@ def _verified(pairs, classes, docs, width, threshold):
     texts = docs.join(sized(ids), docs["doc_id"].eqNullSafe(F.col("id")), "left_semi")
     # doc ids can repeat, and so can classes then: one set of each class is enough
     sets = texts.mapInArrow(_wanted_sets(width), "cls binary, items array<long>").join(wanted, "cls", "left_semi")
-    sets = kept(sets.groupBy("cls").agg(F.first("items").alias("items")))
+    sets = kept(sets.groupBy("cls").agg(F.first("items").alias("items")), release=True)
     # members first: a hub with many members then makes a large partition, which Spark splits
     with_b = near.join(sets.select(F.col("cls").alias("b"), F.col("items").alias("b_items")), "b")
     both = with_b.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("a_items")), "a")
@@ -332,7 +332,7 @@ def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     spark = docs.sparkSession
 
     counts = docs.mapInArrow(_counted(width), "shingle long").groupBy("shingle").count()
-    frequent = frequent_shingles(kept(counts.filter(F.col("count") > FREQUENT)))
+    frequent = frequent_shingles(kept(counts.filter(F.col("count") > FREQUENT), release=True))
     histogram = {row["size"]: row["count"] for row in classes.filter(F.col("size") <= 128).groupBy("size").count().collect()}
     boundary = light_boundary(histogram, threshold)
 
@@ -340,7 +340,7 @@ def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     postings = docs.mapInArrow(_post(width, threshold, boundary, frequent), "key long, cls binary, size long, place int, leads boolean").distinct()
     postings = postings.withColumn("subsets", F.col("leads").isNotNull())
     lists = postings.groupBy("key", "subsets").count().filter("count > 1").drop("count")
-    members = kept(postings.join(lists, ["key", "subsets"], "left_semi"))
+    members = kept(postings.join(lists, ["key", "subsets"], "left_semi"), release=True)
     # hubs are those with the fewest rare shingles of their own before the common one
     lead = F.when(F.coalesce("leads", F.lit(True)), F.struct(F.col("place"), F.col("cls")))
     far = F.when(F.coalesce("leads", F.lit(True)), F.struct(-F.col("place"), F.col("cls")))

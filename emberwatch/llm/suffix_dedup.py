@@ -240,7 +240,7 @@ def repeated_windows(docs, length):
     runs = _ranked(runs, ["digit", "known"], ["run", "before", "after"])
     gone = F.col("known") | F.col("repeats")
     runs = runs.withColumn("gone", gone).filter("gone OR first AND different > 1")
-    runs = kept(runs.select("digit", *_PLACE, "before", "after", "gone"))
+    runs = kept(runs.select("digit", *_PLACE, "before", "after", "gone"), release=True)
 
     spans = runs.filter("NOT gone").groupBy("doc", "tag").agg(F.collect_list(F.struct("digit", "anchor", "before", "after")).alias("spans"))
     found = docs.join(spans, ["doc", "tag"])
@@ -260,7 +260,7 @@ def repeated_windows(docs, length):
     low = F.when(F.col("repeats"), F.col("low")).otherwise(F.col("back"))
     last = suffixes.select("doc", "tag", (base - high).alias("first"), (base - low).alias("last"))
     whole = runs.filter("gone").select("doc", "tag", (F.col("anchor") - F.col("before")).alias("first"), (F.col("anchor") - F.col("after")).alias("last"))
-    return whole.unionAll(last)
+    return kept(whole.unionAll(last), release=True)
 
 
 def remove_repeats(docs, length=100):
