@@ -9,13 +9,16 @@ from emberwatch.constants import NO_TIME_TEXT
 
 # Spark also reads a bare clock time as "today"; a reading always carries its date.
 _STARTS_WITH_YEAR = r"^\s*\d{4}"
+_NAMES_ZONE = r"(?i)\d\s*(?:[a-z][a-z/_+:0-9]*|[+-]\d{1,2}:?\d{0,2}(?::\d{2})?)\s*$"
 _MICROS_PER_SECOND = 1e6
 
 
 def parse_time(column):
     """Timestamp without zone from text; text that is not a time becomes null."""
     text = column.cast("string")
-    return F.when(text.rlike(_STARTS_WITH_YEAR), text.try_cast("timestamp").cast("timestamp_ntz"))
+    # text that names a zone is an instant; only that goes through the zone of the session
+    zoned = F.when(text.rlike(_NAMES_ZONE), text.try_cast("timestamp").cast("timestamp_ntz")).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(_STARTS_WITH_YEAR), zoned)
 
 
 def as_time(frame, name):

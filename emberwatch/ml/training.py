@@ -28,10 +28,15 @@ def split_train_test(frame, shares=(0.8, 0.2), seed=SEED):
 
 def split_by_key(frame, key="id", fifths=1):
     """Split by a whole-number key: the same rows on every run and every cluster size."""
-    held_out = F.pmod(F.col(key), F.lit(5)) < fifths
+    held_out = is_held_out(key, fifths)
     return frame.filter(~held_out), frame.filter(held_out)
 
 
+def is_held_out(key="id", fifths=1):
+    """The test rows of ``split_by_key``."""
+    return F.pmod(F.col(key), F.lit(5)) < fifths
+
+
 def split_by_hash(frame, keys, test_percent=20):
     """As ``split_by_key`` for keys of any type."""
     held_out = F.pmod(F.xxhash64(*keys), F.lit(100)) < test_percent

@@ -42,6 +42,24 @@ def rejected_readings(frame):
     return frame.filter(~_complete())
 
 
+def measured():
+    """All measures are numbers. A model cannot score a row with NaN."""
+    condition = F.lit(True)
+    for name in FEATURES:
+        condition = condition & F.col(name).isNotNull() & ~F.isnan(name)
+    return condition
+
+
+def scorable_readings(frame):
+    """Complete rows whose measures are all numbers."""
+    return frame.filter(_complete() & measured())
+
+
+def unscorable_readings(frame):
+    """The other rows, each with its ``reason``: missing or not_a_number."""
+    return frame.filter(~(_complete() & measured())).withColumn("reason", F.when(_complete(), "not_a_number").otherwise("missing"))
+
+
 def reading_quality(frame):
     """One row: how many readings are complete, rejected, and missing each field."""
     return frame.agg(

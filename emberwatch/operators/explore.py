@@ -14,7 +14,7 @@ def explorer_filter(frame, zone=None, status=None, text=""):
     return frame
 
 
-def explorer_page(frame, n=100, prune=None):
+def explorer_page(frame, n=100, prune=False):
     """The newest matching rows."""
     return recent_history(frame, n, prune)
 

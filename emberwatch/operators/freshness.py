@@ -8,8 +8,12 @@ from emberwatch.functions.times import age_seconds, data_time
 
 
 def add_freshness(frame, now=None, stale_seconds=STALE_SECONDS):
-    """Adds ``data_time``, ``age_seconds`` and ``is_fresh`` to prepared predictions."""
-    aged = frame.withColumn("data_time", data_time(F.col("created_at"), F.col("timestamp")))
+    """Adds ``data_time``, ``age_seconds`` and ``is_fresh`` to prepared predictions.
+
+    A frame may lack either time column, or both; then the other counts, or no row is fresh.
+    """
+    times = [F.col(name) if name in frame.columns else F.lit(None).cast("timestamp_ntz") for name in ("created_at", "timestamp")]
+    aged = frame.withColumn("data_time", data_time(*times))
     aged = aged.withColumn("age_seconds", age_seconds(F.col("data_time"), now))
     return aged.withColumn("is_fresh", is_fresh(F.col("age_seconds"), stale_seconds))
 
@@ -20,12 +24,12 @@ def fresh_split(frame):
 
 
 def sensor_counts(latest):
-    """Distinct sensors: in total, fresh, stale."""
+    """Sensors in total, fresh, stale. ``latest`` has one row per sensor, so its rows are counted."""
     sensor = F.col("sensor_id")
     return latest.agg(
-        F.count_distinct(sensor).alias("total_sensors"),
-        F.count_distinct(F.when(F.col("is_fresh"), sensor)).alias("fresh_sensors"),
-        F.count_distinct(F.when(~F.col("is_fresh"), sensor)).alias("stale_sensors"),
+        F.count(sensor).alias("total_sensors"),
+        F.count(F.when(F.col("is_fresh"), sensor)).alias("fresh_sensors"),
+        F.count(F.when(~F.col("is_fresh"), sensor)).alias("stale_sensors"),
     )
 
 

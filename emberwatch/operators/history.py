@@ -4,17 +4,17 @@ from pyspark.sql import functions as F
 
 from emberwatch.constants import ABNORMAL_LABELS, FIRE, FIRE_RISK, HISTORY_ROWS
 from emberwatch.functions.labels import board_priority, fire_first
-from emberwatch.operators.pruning import is_large, newest_floor
+from emberwatch.operators.pruning import from_floor, newest_floor
 
 
-def recent_history(frame, n=HISTORY_ROWS, prune=None):
-    """The ``n`` newest rows by id.
+def recent_history(frame, n=HISTORY_ROWS, prune=False):
+    """The ``n`` newest rows by id, those without an id last.
 
-    Over a large table a plain top-k would send ``n`` wide rows from every task to one;
-    with the bound only tasks near the top send any.
+    A plain top-k sends ``n`` wide rows from every task to one; with the bound of
+    ``prune`` only tasks near the top send any.
     """
-    if is_large(frame) if prune is None else prune:
-        frame = frame.filter(F.col("id") >= newest_floor(frame, n, F.col("id")))
+    if prune:
+        frame = frame.filter(from_floor(F.col("id"), newest_floor(frame, n, F.col("id"))))
     return frame.orderBy(F.desc("id")).limit(n)
 
 
@@ -65,4 +65,8 @@ def alert_totals(latest, history):
         F.count_if(label == FIRE).alias("fire_events"),
         F.count_if(label == FIRE_RISK).alias("risk_events"),
     )
-    return now.join(F.broadcast(past))  # one row beside one row
+    # one row each, put together as one row
+    names = ["history_events", "fire_events", "risk_events"]
+    both = now.select("active_alerts", *[F.lit(0).cast("bigint").alias(name) for name in names])
+    both = both.unionAll(past.select(F.lit(0).cast("bigint").alias("active_alerts"), *names))
+    return both.agg(*[F.sum(name).alias(name) for name in ["active_alerts", *names]])

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from emberwatch.constants import ABNORMAL_CODES
-from emberwatch.operators.pruning import is_large, latest_floor, newest_floor
+from emberwatch.operators.pruning import from_floor, latest_floor, newest_floor
 
 
 def max_id_per_sensor(frame):
@@ -18,13 +18,13 @@ def _first(frame, keys, order):
     return frame.withColumn("rank", rank).filter(F.col("rank") == 1).drop("rank")
 
 
-def latest_by_max_id(frame, ordered=False, prune=None):
+def latest_by_max_id(frame, ordered=False, prune=False):
     """The row with the highest id of each sensor.
 
-    ``prune`` adds the bound of ``pruning``; by default only over large tables.
+    ``prune`` adds the bound of ``pruning``.
     """
     rows = frame.filter(F.col("id").isNotNull())
-    if is_large(frame) if prune is None else prune:
+    if prune:
         rows = rows.filter(F.col("id") >= latest_floor(frame, ["sensor_id"], "id"))
     newest = _first(rows, ["sensor_id"], [F.desc("id")])
     return newest.orderBy(F.desc("id")) if ordered else newest
@@ -39,30 +39,30 @@ def latest_by_max_id_join(frame):
 def _not_before_latest(frame, keys, column):
     """Without the rows older than the oldest of the latest rows; rows without a time stay."""
     floor = latest_floor(frame, keys, column)
-    return frame.filter((F.col(column) >= floor) | F.col(column).isNull())
+    return frame.filter(from_floor(F.col(column), floor))
 
 
-def latest_abnormal(frame, code="prediction", ties=("id",), prune=None):
+def latest_abnormal(frame, code="prediction", ties=("id",), prune=False):
     """Newest abnormal row per sensor and zone.
 
     Abnormal rows are selected before ranking: a sensor that recovered afterwards still
     counts. ``ties`` decides between rows of the same second.
     """
     abnormal = frame.filter(F.col(code).isin(ABNORMAL_CODES))
-    if is_large(frame) if prune is None else prune:
+    if prune:
         abnormal = _not_before_latest(abnormal, ["sensor_id", "zone"], "timestamp")
     return _first(abnormal, ["sensor_id", "zone"], [F.desc("timestamp"), *[F.desc(name) for name in ties]])
 
 
-def latest_by_time(records, prune=None):
+def latest_by_time(records, prune=False):
     """Newest record per sensor by data time, then id; records from ``web.identify``."""
-    if is_large(records) if prune is None else prune:
+    if prune:
         records = _not_before_latest(records, ["sensor"], "order_time")
     return _first(records, ["sensor"], [F.desc("order_time"), F.desc("order_id"), F.desc("id")])
 
 
-def latest_record(frame, prune=None):
+def latest_record(frame, prune=False):
     """The single newest row."""
-    if is_large(frame) if prune is None else prune:
-        frame = frame.filter(F.col("id") >= newest_floor(frame, 1, F.col("id")))
+    if prune:
+        frame = frame.filter(from_floor(F.col("id"), newest_floor(frame, 1, F.col("id"))))
     return frame.orderBy(F.desc("id")).limit(1)

@@ -20,13 +20,11 @@ def class_errors(confusion):
     return confusion.filter(F.col("label") != F.col("prediction"))
 
 
-def row_counts(**frames):
-    """Rows per named frame."""
-    parts = [frame.agg(F.lit(name).alias("frame"), F.count("*").alias("rows")) for name, frame in frames.items()]
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionAll(part)
-    return counts
+def row_counts(frame, **parts):
+    """Rows of ``frame``, and of its named parts (conditions), in one pass."""
+    counts = frame.agg(F.count("*").alias("all"), *[F.count_if(condition).alias(name) for name, condition in parts.items()])
+    rows = [F.struct(F.lit(name).alias("frame"), F.col(name).alias("rows")) for name in ["all", *parts]]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def multiclass_metrics(confusion):

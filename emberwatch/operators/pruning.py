@@ -1,32 +1,20 @@
-"""Choosing between a single pass and a cheap first pass that prunes the second.
+"""A first pass over the key columns that prunes the read of full rows.
 
 Questions about the newest rows of an append-only table need a few rows out of very
-many. Over a large table it pays to read only the key columns first, derive the lowest
+many. With ``prune=True`` the operators read only the key columns first, derive the lowest
 key that can still matter, and read the full rows from there: Spark evaluates the bound
 as a scalar subquery before the scan and hands it to the Parquet reader, which skips the
-row groups below it. The bound is exact, so both ways return the same rows. Over a small
-table the first pass costs more than it saves.
+row groups below it. Rows without a key are never cut off, so both ways return the same
+rows. It pays where the newest rows lie together at the end of a large table, and costs a
+second pass where they don't; the caller knows which, the size of the table does not tell.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-LARGE_BYTES = 256 << 20
-_BUCKET_BITS = 20
-
-
-def estimated_bytes(frame):
-    """Catalyst's size estimate of the plan, without running it; None where there is none."""
-    try:
-        return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # a remote session has no local plan
-        return None
+from emberwatch.functions.times import as_time
 
-
-def is_large(frame, limit=LARGE_BYTES):
-    """True unless the estimate proves the frame small."""
-    size = estimated_bytes(frame)
-    return size is None or size > limit
+_BUCKET_BITS = 20
 
 
 def latest_floor(frame, keys, order):
@@ -55,7 +43,22 @@ def newest_floor(frame, n, order, bits=_BUCKET_BITS, restore=lambda floor: floor
     )
 
 
-def newest_floor_by_time(frame, n, time):
-    """As ``newest_floor`` for a timestamp column; buckets of 2**10 seconds."""
-    second = F.unix_seconds(time.cast("timestamp"))
-    return newest_floor(frame, n, second, 10, lambda floor: F.timestamp_seconds(floor).cast("timestamp_ntz"))
+_EPOCH = "1970-01-01"
+
+
+def newest_floor_by_time(frame, n, name):
+    """As ``newest_floor`` for the time column ``name``; buckets of 2**10 seconds.
+
+    Times without zone are counted and restored without any zone, those with one as instants.
+    """
+    if frame.schema[name].dataType.typeName() == "timestamp":
+        return newest_floor(frame, n, F.unix_seconds(name), 10, F.timestamp_seconds)
+    epoch, time = F.lit(_EPOCH).cast("timestamp_ntz"), as_time(frame, name)
+    days = F.datediff(time.cast("date"), F.lit(_EPOCH).cast("date")).cast("bigint")  # differences of times would go by the zone
+    second = days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    return newest_floor(frame, n, second, 10, lambda floor: F.timestamp_add("SECOND", floor, epoch))
+
+
+def from_floor(key, floor):
+    """Rows at or above the bound, and those without a key."""
+    return (key >= floor) | key.isNull()

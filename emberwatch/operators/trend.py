@@ -3,15 +3,17 @@
 from pyspark.sql import functions as F
 
 from emberwatch.constants import TREND_POINTS, TREND_ROWS
+from emberwatch.functions.times import as_time
 from emberwatch.operators.clean import drop_missing_metric
-from emberwatch.operators.pruning import is_large, newest_floor_by_time
+from emberwatch.operators.pruning import from_floor, newest_floor_by_time
 
 
-def tail_by_time(frame, metric, n=TREND_ROWS, prune=None):
+def tail_by_time(frame, metric, n=TREND_ROWS, prune=False):
     """The ``n`` latest rows by time that have the metric; ids decide within a second."""
     rows = drop_missing_metric(frame, metric)
-    if is_large(frame) if prune is None else prune:
-        rows = rows.filter(F.col("timestamp") >= newest_floor_by_time(rows, n, F.col("timestamp")))
+    if prune:
+        time = as_time(rows, "timestamp") if rows.schema["timestamp"].dataType.typeName() == "string" else F.col("timestamp")
+        rows = rows.filter(from_floor(time, newest_floor_by_time(rows, n, "timestamp")))
     return rows.orderBy(F.desc("timestamp"), F.desc("id")).limit(n)
 
 

@@ -7,7 +7,7 @@ from emberwatch.constants import BREAKDOWN_GROUPS, HISTORY_ROWS, STALE_SECONDS,
 from emberwatch.functions import numbers, places, times
 from emberwatch.functions.labels import connection_state, status_alias, text_for
 from emberwatch.operators.latest import latest_by_time
-from emberwatch.operators.pruning import is_large, newest_floor_by_time
+from emberwatch.operators.pruning import from_floor, newest_floor_by_time
 from emberwatch.operators.zones import zone_dimension
 from emberwatch.schemas import PROBABILITIES
 
@@ -114,14 +114,14 @@ def web_history_totals(records, shown=HISTORY_ROWS):
     return counts.withColumn("shown", F.least(F.col("records"), F.lit(shown)))
 
 
-def history_by_time(records, n=HISTORY_ROWS, prune=None):
+def history_by_time(records, n=HISTORY_ROWS, prune=False):
     """The ``n`` newest records by data time, those without a time last."""
-    if is_large(records) if prune is None else prune:
-        records = records.filter(F.col("order_time") >= newest_floor_by_time(records, n, F.col("order_time")))
+    if prune:
+        records = records.filter(from_floor(F.col("order_time"), newest_floor_by_time(records, n, "order_time")))
     return newest_records(records, n)
 
 
-def numbered_history(records, n=HISTORY_ROWS, prune=None):
+def numbered_history(records, n=HISTORY_ROWS, prune=False):
     """``history_by_time`` with a running number; only the ``n`` kept rows are numbered."""
     window = Window.orderBy(F.desc("order_time"), F.desc("order_id"), F.desc("id"))
     return history_by_time(records, n, prune).withColumn("number", F.row_number().over(window))

@@ -43,13 +43,14 @@ _MODULO = "id % {0} = 0"
 _CTES = {
     "z": f"SELECT * FROM (VALUES {_ZONES}) AS t(zone_idx, zone, zone_label)",
     "readings": """
-    SELECT e.event_id AS id, 'S' || lpad(CAST(e.user_id % 50 + 1 AS VARCHAR), 3, '0') AS sensor_id, z.zone, e.ts AS "timestamp",
+    SELECT e.event_id AS id, coalesce('S' || lpad(CAST(((e.user_id % 50) + 50) % 50 + 1 AS VARCHAR), 3, '0'), 'UNKNOWN') AS sensor_id,
+           coalesce(z.zone, 'UNKNOWN') AS zone, e.ts AS "timestamp",
            CASE WHEN e.event_id % 97 = 0 THEN NULL ELSE CAST(24 + e.event_id % 13 AS DOUBLE) + e.value / 8 END AS temperature,
            CASE WHEN e.value > 400 THEN CAST(20 AS DOUBLE) ELSE CAST(70 AS DOUBLE) - e.value / 8 END AS humidity,
            e.value * 2 AS smoke_ppm,
            CAST(50 + (e.event_id * 31) % 130 AS DOUBLE) + e.value * 3 AS lpg_gas_ppm,
            CAST(5 + e.event_id % 20 AS DOUBLE) + e.value / 2 AS co_gas_ppm
-    FROM events e JOIN z ON z.zone_idx = e.user_id % 10""",
+    FROM events e LEFT JOIN z ON z.zone_idx = ((e.user_id % 10) + 10) % 10""",
     "scored": """
     SELECT *, CASE WHEN temperature > 65.0 OR smoke_ppm > 400.0 THEN 2 WHEN temperature > 50.0 OR smoke_ppm > 200.0 THEN 1 ELSE 0 END AS prediction
     FROM readings""",
@@ -449,3 +450,16 @@ ORACLES = {
               {_case("severity", K.ALERT_SENSOR_TITLE, "NULL")} || CAST(alert_number AS VARCHAR) || chr(10) || {_SENSOR_TEXT} || chr(10) AS text FROM indexed""", "indexed"),
     "split_train_test": _with("SELECT id, sensor_id, CASE WHEN id % 5 = 0 THEN 'test' ELSE 'train' END AS part FROM predictions", "predictions"),
 }
+ORACLES |= {
+    f"{name}_pruned": ORACLES[name]
+    for name in ("tail_by_time", "explorer_page", "latest_record", "history_by_time", "numbered_history", "latest_abnormal")
+}
+ORACLES |= {
+    f"metric_trend_{name}": _with(
+        f"""SELECT "timestamp", round(avg({name}), 9) AS value FROM (
+             SELECT "timestamp", {name} FROM recent WHERE {name} IS NOT NULL ORDER BY "timestamp" DESC, id DESC LIMIT 200)
+           GROUP BY "timestamp" ORDER BY "timestamp" DESC LIMIT 100""", "recent")
+    for name in K.FEATURES if name != "temperature"
+}
+ORACLES["data_check"] = _with(
+    f"""SELECT id, sensor_id, zone, "timestamp", {', '.join(K.FEATURES)}, prediction_label FROM recent ORDER BY id DESC LIMIT 60""", "recent")

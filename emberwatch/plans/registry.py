@@ -280,6 +280,17 @@ def metric_trend(spark, folder):
     return _rounded(trend.metric_trend(_recent(spark, folder), "temperature"), "value")
 
 
+def _metric_trend(name):
+    return lambda spark, folder: _rounded(trend.metric_trend(_recent(spark, folder), name), "value")
+
+
+def data_check(spark, folder):
+    """The newest rows of the chosen columns, as a look at the data."""
+    columns = ["id", "sensor_id", "zone", "timestamp", *FEATURES, "prediction_label"]
+    newest = _recent(spark, folder).orderBy(F.desc("id"))
+    return clean.preview(clean.select_existing(newest, columns), 60)
+
+
 def trend_reference(spark, folder):
     return _rounded(trend.trend_reference(trend.metric_trend(_recent(spark, folder), "smoke_ppm")), "average")
 
@@ -301,9 +312,8 @@ def mean_probabilities(spark, folder):
 
 
 def row_counts(spark, folder):
-    rows = _predictions(spark, folder)
-    train_rows, test_rows = training.split_by_key(rows)
-    return metrics.row_counts(all=rows, train=train_rows, test=test_rows)
+    held_out = training.is_held_out()
+    return metrics.row_counts(_predictions(spark, folder), train=~held_out, test=held_out)
 
 
 def multiclass_metrics(spark, folder):
@@ -317,12 +327,13 @@ def latest_by_time(spark, folder):
     return _latest_records(spark, folder).select("id", "sensor", "status", "connection", "record_time")
 
 
-def numbered_history(spark, folder):
-    return web.numbered_history(web.identify(events.api_records(spark, folder))).select("number", "id", "sensor", "record_time")
+def numbered_history(spark, folder, prune=False):
+    rows = web.numbered_history(web.identify(events.api_records(spark, folder)), prune=prune)
+    return rows.select("number", "id", "sensor", "record_time")
 
 
-def history_by_time(spark, folder):
-    newest = web.history_by_time(web.identify(events.api_records(spark, folder)))
+def history_by_time(spark, folder, prune=False):
+    newest = web.history_by_time(web.identify(events.api_records(spark, folder)), prune=prune)
     return web.describe(newest, NOW, STALE).select("id", "sensor", "zone_name", "status", "record_time")
 
 
@@ -330,8 +341,8 @@ def active_alerts(spark, folder):
     return history.active_alerts(_current(spark, folder)).select("id", "sensor_id", "prediction_label", "is_fresh", "status_priority")
 
 
-def tail_by_time(spark, folder):
-    return trend.tail_by_time(_predictions(spark, folder), "temperature").select("id", "timestamp", "temperature")
+def tail_by_time(spark, folder, prune=False):
+    return trend.tail_by_time(_predictions(spark, folder), "temperature", prune=prune).select("id", "timestamp", "temperature")
 
 
 def alert_history(spark, folder):
@@ -342,8 +353,8 @@ def current_status_table(spark, folder):
     return history.by_urgency(_current(spark, folder)).select(*PREDICTION_COLUMNS, "is_fresh")
 
 
-def explorer_page(spark, folder):
-    return explore.explorer_page(_predictions(spark, folder)).select(*PREDICTION_COLUMNS)
+def explorer_page(spark, folder, prune=False):
+    return explore.explorer_page(_predictions(spark, folder), prune=prune).select(*PREDICTION_COLUMNS)
 
 
 def top_alerts(spark, folder):
@@ -381,8 +392,8 @@ def alert_message_parts(spark, folder):
 
 
 def split_train_test(spark, folder):
-    train_rows, test_rows = training.split_by_key(_predictions(spark, folder).select("id", "sensor_id"))
-    return train_rows.withColumn("part", F.lit("train")).unionAll(test_rows.withColumn("part", F.lit("test")))
+    part = F.when(training.is_held_out(), "test").otherwise("train")
+    return _predictions(spark, folder).select("id", "sensor_id", part.alias("part"))
 
 
 def _trained(name):
@@ -394,8 +405,9 @@ def _trained(name):
 
 
 def score(spark, folder):
-    model, test_rows = _fitted(spark, folder, "DT1")
-    return training.label_scores(training.score(model, test_rows)).drop("features", "rawPrediction", "probability")
+    model, _ = _fitted(spark, folder, "DT1")
+    rows = _labelled(spark, folder).dropna(subset=FEATURES).select("id", *FEATURES, "label")
+    return training.label_scores(training.score(model, rows)).drop("features", "rawPrediction", "probability")
 
 
 def feature_importance(spark, folder):
@@ -457,6 +469,8 @@ QUERIES = {
     "status_kpis": status_kpis,
     "zone_stats": zone_stats,
     "metric_trend": metric_trend,
+    **{f"metric_trend_{name}": _metric_trend(name) for name in FEATURES if name != "temperature"},
+    "data_check": data_check,
     "trend_reference": trend_reference,
     "alert_totals": alert_totals,
     "web_overview": lambda s, f: web.web_overview(_latest_records(s, f)),
@@ -474,6 +488,12 @@ QUERIES = {
     "alert_index": alert_index,
     "recent_history": lambda s, f: history.recent_history(_predictions(s, f)),
     "recent_history_pruned": lambda s, f: history.recent_history(_predictions(s, f), prune=True),
+    "tail_by_time_pruned": lambda s, f: tail_by_time(s, f, True),
+    "explorer_page_pruned": lambda s, f: explorer_page(s, f, True),
+    "latest_record_pruned": lambda s, f: latest.latest_record(_predictions(s, f), prune=True),
+    "history_by_time_pruned": lambda s, f: history_by_time(s, f, True),
+    "numbered_history_pruned": lambda s, f: numbered_history(s, f, True),
+    "latest_abnormal_pruned": lambda s, f: latest.latest_abnormal(_predictions(s, f), prune=True),
     "active_alerts": active_alerts,
     "tail_by_time": tail_by_time,
     "alert_history": alert_history,

@@ -21,10 +21,10 @@ def _time_text(column):
 def readings(spark, folder):
     """Readings with their ``id``; the timestamp is a real one here."""
     events = spark.read.parquet(f"{folder}/events.parquet")
-    return events.filter("user_id >= 0").selectExpr(
+    return events.selectExpr(
         "event_id AS id",
-        "concat('S', lpad(CAST(user_id % 50 + 1 AS STRING), 3, '0')) AS sensor_id",
-        f"{_ZONE_KEYS}[CAST(user_id % {len(ZONES)} AS INT)] AS zone",
+        "coalesce(concat('S', lpad(CAST(pmod(user_id, 50) + 1 AS STRING), 3, '0')), 'UNKNOWN') AS sensor_id",
+        f"coalesce({_ZONE_KEYS}[CAST(pmod(user_id, {len(ZONES)}) AS INT)], 'UNKNOWN') AS zone",
         "ts AS timestamp",
         "CASE WHEN event_id % 97 <> 0 THEN CAST(24 + event_id % 13 AS DOUBLE) + value / 8 END AS temperature",
         "CASE WHEN value > 400 THEN 20D ELSE 70D - value / 8 END AS humidity",

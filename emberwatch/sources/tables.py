@@ -44,17 +44,28 @@ def append_predictions_jdbc(frame, url, table, properties=None):
     frame.select(*schemas.SCORED_COLUMNS).write.jdbc(url=url, table=table, mode="append", properties=properties or {})
 
 
-def batch_folder(path, batch_id):
-    return f"{path}/batch_group={batch_id // BATCHES_PER_GROUP}/batch_id={batch_id}"
+def batch_folder(path, batch_id, stream="none"):
+    return f"{path}/stream={stream}/batch_group={batch_id // BATCHES_PER_GROUP}/batch_id={batch_id}"
+
+
+def stream_identity(spark):
+    """Identity of the streaming query that handles a batch; it lives in its checkpoint.
+
+    A restarted query keeps it, one with a fresh checkpoint gets another. Outside a stream
+    it is ``none``.
+    """
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
 def write_batch(frame, path, batch_id):
     """Write one micro-batch to its own folder, replacing what an earlier try left there.
 
-    The folder depends on the batch alone, so a replay after a lost driver or executor
-    cannot duplicate rows. Readers see ``batch_group`` and ``batch_id`` as partition columns.
+    The folder depends on the stream's identity and the batch, so a replay after a lost
+    driver or executor cannot duplicate rows, and a stream with a fresh checkpoint cannot
+    replace what another one stored. Readers see ``stream``, ``batch_group`` and
+    ``batch_id`` as partition columns.
     """
-    frame.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+    frame.write.mode("overwrite").parquet(batch_folder(path, batch_id, stream_identity(frame.sparkSession)))
 
 
 def with_row_ids(frame, batch_id):

@@ -9,7 +9,7 @@ from emberwatch.constants import TRIGGER
 from emberwatch.functions.times import parse_time
 from emberwatch.ml.training import label_scores, score
 from emberwatch.operators import alerts
-from emberwatch.operators.clean import prediction_projection, validate_readings
+from emberwatch.operators.clean import prediction_projection, scorable_readings, unscorable_readings
 from emberwatch.operators.history import abnormal_only
 from emberwatch.operators.latest import latest_abnormal
 from emberwatch.schemas import PREDICTION_COLUMNS
@@ -75,14 +75,28 @@ def jdbc_sink(url, table, properties=None):
     return write
 
 
-def process_batch(batch, batch_id, model, sink, alerts_path):
+def process_batch(batch, batch_id, model, sink, alerts_path, rejected_path=None):
     """Score one micro-batch, store it, and write the alert messages it calls for.
 
+    Rows that cannot be scored (a field missing, or NaN) don't stop the others; they are
+    written with their reason to ``rejected_path``, by default beside the alerts.
+
     The scored batch is kept while both outputs are made of it, so sources and model run
     once. Messages are stored in the order they are to be sent: FIRE before FIRE_RISK.
     """
-    if batch.isEmpty():
-        return
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rejected = unscorable_readings(batch)
+        if not rejected.isEmpty():
+            write_batch(rejected, rejected_path or f"{alerts_path}_rejected", batch_id)
+        good = scorable_readings(batch)
+        if not good.isEmpty():
+            _store_scored(good, batch_id, model, sink, alerts_path)
+    finally:
+        batch.unpersist()
+
+
+def _store_scored(batch, batch_id, model, sink, alerts_path):
     scored = label_scores(score(model, batch)).withColumn("prediction", F.col("prediction").cast("int"))
     rows = with_row_ids(scored, batch_id).withColumn("created_at", F.localtimestamp())
     rows = rows.select(*PREDICTION_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
@@ -95,8 +109,8 @@ def process_batch(batch, batch_id, model, sink, alerts_path):
         rows.unpersist()
 
 
-def run_scoring_stream(readings, model, sink, alerts_path, checkpoint, every=TRIGGER, once=False):
-    """Validate, score, store and alert, batch by batch."""
-    handler = functools.partial(process_batch, model=model, sink=sink, alerts_path=alerts_path)
-    writer = validate_readings(readings).writeStream.foreachBatch(handler).outputMode("append")
+def run_scoring_stream(readings, model, sink, alerts_path, checkpoint, every=TRIGGER, once=False, rejected_path=None):
+    """Validate, score, store and alert, batch by batch; see ``process_batch``."""
+    handler = functools.partial(process_batch, model=model, sink=sink, alerts_path=alerts_path, rejected_path=rejected_path)
+    writer = readings.writeStream.foreachBatch(handler).outputMode("append")
     return _trigger(writer.option("checkpointLocation", checkpoint), every, once).start()

@@ -167,6 +167,25 @@ def test_replayed_batch_counts_once(spark, model, tmp_path):
     assert spark.read.parquet(str(tmp_path / "alerts")).count() == 2
 
 
+def test_rows_that_cannot_be_scored_are_set_aside(spark, model, tmp_path):
+    source, table, sent = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "alerts")
+    holed = {**reading("N", 0, 1), "humidity": float("nan")}
+    write_messages(source, "a.txt", [reading("A", 2, 1), holed, "broken"])
+    jobs.run_scoring_stream(stream(spark, source), model, jobs.file_sink(table), sent, str(tmp_path / "check"), once=True).awaitTermination()
+    assert [row.sensor_id for row in tables.read_predictions(spark, table).collect()] == ["A"]
+    assert spark.read.parquet(sent).count() == 1
+    assert sorted(row.reason for row in spark.read.parquet(f"{sent}_rejected").collect()) == ["missing", "not_a_number"]
+
+
+def test_fresh_checkpoint_keeps_stored_rows(spark, model, tmp_path):
+    source, table = tmp_path / "in", str(tmp_path / "table")
+    write_messages(source, "a.txt", [reading("A", 0, 1), reading("B", 0, 1)])
+    for check in ("one", "two"):
+        sink = jobs.file_sink(table)
+        jobs.run_scoring_stream(stream(spark, source), model, sink, str(tmp_path / "alerts"), str(tmp_path / check), once=True).awaitTermination()
+    assert tables.read_predictions(spark, table).count() == 4
+
+
 def test_empty_batch_writes_nothing(spark, model, tmp_path):
     empty = spark.createDataFrame([], readings.schemas.READING)
     jobs.process_batch(empty, 0, model, jobs.file_sink(str(tmp_path / "table")), str(tmp_path / "alerts"))

@@ -6,8 +6,9 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from emberwatch.functions import times
 from emberwatch.operators import clean, explore, freshness, history, latest, metrics, trend, web, zones
-from emberwatch.operators.pruning import estimated_bytes, is_large, newest_floor
+from emberwatch.operators.pruning import newest_floor
 from emberwatch.plans import boards
 from emberwatch.schemas import PREDICTION, RECORD_COLUMNS
 from emberwatch.sources import events
@@ -141,10 +142,26 @@ def test_tail_with_and_without_bound(spark, folder):
     assert ids(explore.explorer_page(matching, 9, prune=True)) == ids(explore.explorer_page(matching, 9, prune=False))
 
 
-def test_size_estimate(spark, folder):
-    rows = events.predictions(spark, folder)
-    assert 0 < estimated_bytes(rows) < 10**7
-    assert not is_large(rows) and is_large(rows, limit=1)
+def test_rows_without_an_id_are_kept_by_the_bound(spark):
+    rows = table(spark, prediction(1), prediction(2), prediction(3)).withColumn("id", F.when(F.col("id") < 3, F.col("id")))
+    for n in (1, 2, 5):
+        assert ids(history.recent_history(rows, n, prune=True)) == ids(history.recent_history(rows, n)) and len(ids(history.recent_history(rows, n))) == min(n, 3)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_time_bound_does_not_depend_on_the_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        moment = datetime.datetime(2024, 3, 10, 2, 30)
+        rows = table(spark, prediction(1, timestamp=moment), prediction(2, timestamp=moment - datetime.timedelta(hours=5)))
+        assert ids(trend.tail_by_time(rows, "temperature", 1, prune=True)) == ids(trend.tail_by_time(rows, "temperature", 1)) == [1]
+        text = rows.withColumn("timestamp", F.when(F.col("id") == 1, "2024-03-10 02:30:00").otherwise("no time"))
+        assert ids(trend.tail_by_time(text, "temperature", 2, prune=True)) == ids(trend.tail_by_time(text, "temperature", 2))
+        parsed = spark.createDataFrame([("2024-03-10 02:30:00",)], "t string").select(times.parse_time(F.col("t")).alias("t")).first().t
+        assert parsed == moment
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def fresh_table(spark, *rows):

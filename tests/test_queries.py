@@ -4,8 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from emberwatch.plans.oracles import ORACLES as SQL
+from emberwatch.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,7 @@ def connection(folder):
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries()) and set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -95,7 +95,7 @@ def test_prediction_table_round_trip(spark, folder, tmp_path):
     stored = tables.read_predictions(spark, str(tmp_path / "table"))
     assert stored.columns == schemas.PREDICTION_COLUMNS
     assert stored.count() == rows.count() + 10
-    assert (tmp_path / "table" / "batch_group=1" / "batch_id=2881").is_dir()
+    assert (tmp_path / "table" / "stream=none" / "batch_group=1" / "batch_id=2881").is_dir()
 
 
 def test_row_ids_grow_with_batches(spark):
