@@ -9,7 +9,7 @@ from emberwatch.constants import NO_TIME_TEXT
 
 # Spark also reads a bare clock time as "today"; a reading always carries its date.
 _STARTS_WITH_YEAR = r"^\s*\d{4}"
-_NAMES_ZONE = r"(?i)\d\s*(?:[a-z][a-z/_+:0-9]*|[+-]\d{1,2}:?\d{0,2}(?::\d{2})?)\s*$"
+_NAMES_ZONE = r"(?i):\d+(?:\.\d+)?\s*(?:[a-z][a-z/_+:0-9]*|[+-]\d{1,2}:?\d{0,2}(?::\d{2})?)\s*$"
 _MICROS_PER_SECOND = 1e6
 
 

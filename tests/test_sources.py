@@ -50,7 +50,7 @@ def test_training_csv(spark, tmp_path):
 def test_load_frame(spark):
     frame = readings.range_load_frame(spark, 10_000)
     assert frame.count() == 10_000 and frame.columns == schemas.READING_COLUMNS
-    row = frame.filter("sensor_id = 'S7'").orderBy("smoke_ppm").first()
+    row = frame.filter("sensor_id = 'S7'").orderBy("smoke_ppm", "temperature").first()
     assert (row.temperature, row.smoke_ppm) == (37.0, 57.0)
     from emberwatch.functions.labels import threshold_label
 
