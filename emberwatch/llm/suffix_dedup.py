@@ -7,7 +7,7 @@ digits are exactly the repeated windows. No suffix is compared beyond the thresh
 * First digit: of the ``ANCHOR`` byte strings inside a window, the one with the lowest
   hash, its anchor. Equal windows have the same anchor at the same place, so a digit that
   occurs once rules out every window around it. Neighbouring windows share their anchor: a
-  *run* of suffixes, about 35 of them, moves as one row.
+  *run* of suffixes, about 39 of them, moves as one row.
 * Second digit: all bytes of a run. Runs equal in it repeat the first of them as a whole.
 * Third digit, for the first of each different run under one anchor: the bytes which
   ``BLOCK`` neighbouring suffixes have in common. Blocks alone in it leave.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from emberwatch.llm import hashing
 from emberwatch.llm.common import kept
 
-ANCHOR = 32
+ANCHOR = 24
 BLOCK = 8
 #: Runs that a task gathers before it combines them.
 RUNS = 400_000
@@ -260,7 +260,7 @@ def repeated_windows(docs, length):
     low = F.when(F.col("repeats"), F.col("low")).otherwise(F.col("back"))
     last = suffixes.select("doc", "tag", (base - high).alias("first"), (base - low).alias("last"))
     whole = runs.filter("gone").select("doc", "tag", (F.col("anchor") - F.col("before")).alias("first"), (F.col("anchor") - F.col("after")).alias("last"))
-    return kept(whole.unionAll(last), release=True)
+    return whole.unionAll(last)
 
 
 def remove_repeats(docs, length=100):
@@ -279,7 +279,9 @@ def remove_repeats(docs, length=100):
     if length < ANCHOR + BLOCK:
         raise ValueError(f"length must be at least {ANCHOR + BLOCK}")
     text = F.coalesce("text", F.lit(""))
-    tag = F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int")
+    # only where ids repeat do rows need more than their id to be told apart
+    repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    tag = F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int") if repeated else F.lit(0)
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), tag.alias("tag"), text.alias("text"))
     ranges = repeated_windows(docs.select("doc", "tag", "text"), length)
     ranges = ranges.groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
