@@ -1,9 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are the rarer half of each test item's n-grams, by the number of documents of the
-whole corpus that have them. So every item keeps seeds, also one that was copied into very
-many documents. Where a seed occurs, the passage around it is aligned with the item; local
-alignment forgives changed, added and missing words.
+Seeds are a test item's n-grams. A rare one, by the number of documents of the whole corpus
+that have it and against the other n-grams of its item, is enough to look closer; common ones
+have to occur together, as they do in any copy, also one that stands in very many documents.
+There the passage around is aligned with the item; local alignment forgives changed, added
+and missing words.
 
 Test items are a stated query set: they are taken in blocks of bounded size, each of which
 is given to all tasks, and every block reads the documents twice (counting, aligning).
@@ -26,6 +27,9 @@ class Settings:
     match: int = 2
     mismatch: int = -1
     gap: int = -1
+    #: An n-gram in at most so many documents is rare, or in so many times the median's.
+    few: int = 16
+    many: float = 4.0
     #: Least share of the best possible score of the item, or
     share: float = 0.5
     #: so many points, which an unbroken copy of 25 words reaches.
@@ -63,16 +67,13 @@ class Block:
         same = self.grams[number] == hashes[at]
         return at[same], number[same]
 
-    def seeds(self, counts):
-        """For every place of an n-gram whether it is among the rarer half of its item."""
+    def rare(self, counts):
+        """For every place of an n-gram whether it is rare: in few documents, or in not many
+        more than half of the n-grams of its item."""
         number = np.repeat(np.arange(len(self.grams)), np.diff(self.offsets))
-        order = np.lexsort((self.places, counts[number], self.owners))
-        owners = self.owners[order]
-        first = np.searchsorted(owners, np.arange(len(self.ids) + 1))
-        rank = np.arange(len(order)) - first[owners]
-        chosen = np.zeros(len(order), bool)
-        chosen[order] = rank * 2 < np.diff(first)[owners]
-        return chosen
+        documents = counts[number]
+        median = np.array([np.median(documents[self.owners == item]) for item in range(len(self.ids))])
+        return documents <= np.maximum(self.settings.few, self.settings.many * median[self.owners])
 
 
 def _grams(words, size):
@@ -140,17 +141,19 @@ def align(item, passage, settings):
     return best
 
 
-def _regions(places, slack):
-    """Neighbouring places joined to regions (first, last)."""
-    breaks = np.flatnonzero(np.diff(places) > slack) + 1
-    return [(part[0], part[-1], len(part)) for part in np.split(places, breaks)]
+def _regions(places, rare, slack):
+    """Neighbouring places joined to regions (first, last, places) that are worth aligning."""
+    order = np.argsort(places, kind="stable")
+    breaks = np.flatnonzero(np.diff(places[order]) > slack) + 1
+    parts = [(places[part], rare[part].any()) for part in np.split(order, breaks)]
+    return [(part[0], part[-1], len(part)) for part, is_rare in parts if is_rare or len(part) > 1]
 
 
 def _aligner(broadcast):
     """The best alignment of each document with each item that shares seeds with it."""
 
     def rows(batches):
-        block, chosen = broadcast.value
+        block, rare = broadcast.value
         settings = block.settings
         for batch in batches:
             found = []
@@ -161,18 +164,16 @@ def _aligner(broadcast):
                     continue
                 per = block.offsets[numbers + 1] - block.offsets[numbers]
                 entry = np.repeat(block.offsets[numbers] - np.cumsum(per) + per, per) + np.arange(per.sum())
-                at = np.repeat(at, per)[chosen[entry]]
-                entry = entry[chosen[entry]]
-                owners, starts = block.owners[entry], at - block.places[entry]
+                owners, starts = block.owners[entry], np.repeat(at, per) - block.places[entry]
                 for item in np.unique(owners):
                     size = len(block.words[item])
-                    begins, most = np.sort(starts[owners == item]), None
-                    for first, last, seeds in _regions(begins, size):
+                    own, most = owners == item, None
+                    for first, last, seeds in _regions(starts[own], rare[entry[own]], size):
                         low, high = max(0, first - size // 2), min(len(words), last + size + size // 2)
                         score, begin, end = align(block.words[item], words[low:high], settings)
                         if most is None or score > most[0]:
                             most = (score, low + begin, low + end, seeds)
-                    if most[0] >= min(settings.share * settings.match * size, settings.points):
+                    if most is not None and most[0] >= min(settings.share * settings.match * size, settings.points):
                         share = most[0] / (settings.match * size)
                         found.append((ids[row], keys[row], block.ids[item], most[0], share, most[3], most[1], most[2]))
             columns = list(zip(*found)) if found else [[]] * 8
@@ -222,7 +223,7 @@ def contaminated(docs, benchmark, settings=None):
         counts = np.zeros(len(block.grams), np.int64)
         table = counted.toArrow()
         counts[table.column("number").to_numpy()] = table.column("documents").to_numpy()
-        seeds = spark.sparkContext.broadcast((block, block.seeds(counts)))
+        seeds = spark.sparkContext.broadcast((block, block.rare(counts)))
         found = found.unionAll(docs.mapInArrow(_aligner(seeds), _RESULT))
     return found
 
