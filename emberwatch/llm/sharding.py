@@ -119,7 +119,7 @@ def shard_rows(docs, shards=16, tolerance=0.0, text="text", tie="doc_id"):
 
     The size of a row is the bytes of its text (null: none) plus 1. Shards differ in bytes
     by one row at most, plus the tolerance. Equal texts stand together unless a boundary
-    cuts their group. Rows with equal text and ``tie`` take neighbouring slots, in no
+    cuts their group. Rows with equal text and ``tie`` stay together in neighbouring slots, in no
     stated order. A null tie counts as empty text. An empty table gives no rows. Columns
     named shard or slot are replaced.
     """

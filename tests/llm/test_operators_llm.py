@@ -303,7 +303,7 @@ def test_sharding(awkward, empty, spark):
         sizes[row.shard] += len((row.text or "").encode()) + 1
         slots.setdefault(row.shard, []).append(row.slot)
     largest = max(len((row.text or "").encode()) + 1 for row in got)
-    assert np.abs(sizes - sizes.mean()).max() <= largest
+    assert np.abs(sizes - sizes.mean()).max() <= 2 * largest  # one row is there twice, and such rows stay together
     assert all(sorted(own) == list(range(len(own))) for own in slots.values())
     assert sharding.shard_rows(empty, 8).count() == 0
     rough = sharding.shard_rows(rows, 4, tolerance=0.5).groupBy("shard").count().collect()
