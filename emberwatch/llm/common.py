@@ -1,7 +1,9 @@
 """What the operators share: tables, kept intermediate results, checked broadcasts."""
 
+import gc
 import math
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -27,12 +29,15 @@ def kept(frame, release=False):
     executor costs nothing that was kept.
 
     With ``release``, the shuffle files that made the table are freed now. Nothing reads
-    them any more, but Spark deletes them only when the driver collects its garbage.
+    them any more, but Spark deletes them only when the driver collects its garbage, and
+    listeners hold the finished plan for a moment longer; therefore twice, with a pause.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
-    if release:
+    for _ in range(2 if release else 0):
+        gc.collect()
+        time.sleep(1)
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
 

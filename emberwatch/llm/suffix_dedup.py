@@ -284,6 +284,7 @@ def remove_repeats(docs, length=100):
     tag = F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int") if repeated else F.lit(0)
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), tag.alias("tag"), text.alias("text"))
     ranges = repeated_windows(docs.select("doc", "tag", "text"), length)
+    ranges = kept(ranges, release=True)  # the texts are shuffled once more; what the ranges took goes first
     ranges = ranges.groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     span = "array<struct<start long, end long>>"
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {span}, kept binary"
