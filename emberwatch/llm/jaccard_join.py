@@ -299,7 +299,7 @@ def _verified(pairs, classes, docs, width, threshold):
         .filter("apart <= total - 2 * need")
         .select("a", "b", "need")
     )
-    near = kept(near)
+    near = kept(near, release=True)
     wanted = near.select(F.col("a").alias("cls")).unionAll(near.select(F.col("b").alias("cls"))).distinct()
     ids = kept(classes.join(wanted, "cls", "left_semi").select(F.col("doc_id").alias("id")))
     texts = docs.join(sized(ids), docs["doc_id"].eqNullSafe(F.col("id")), "left_semi")
@@ -346,13 +346,13 @@ def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     far = F.when(F.coalesce("leads", F.lit(True)), F.struct(-F.col("place"), F.col("cls")))
     hubs = members.groupBy("key", "subsets").agg(F.min(lead).alias("low"), F.max(far).alias("high"))
     hubs = hubs.filter("low IS NOT NULL").select("key", "subsets", F.col("low.cls").alias("low"), F.col("high.cls").alias("high"))
-    members = kept(members.join(hubs, ["key", "subsets"]))
+    members = kept(members.join(hubs, ["key", "subsets"]), release=True)
 
     sure = _as_pairs(members.filter("subsets"), "low", "cls")
     scanned = members.filter("NOT subsets").select("key", "cls", "size", "place", "low", "high")
     tried = _as_pairs(scanned, "low", "cls").unionAll(_as_pairs(scanned, "high", "cls"))
     tried = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = kept(sure.unionAll(_verified(tried, classes, docs, width, threshold)))
+    links = kept(sure.unionAll(_verified(tried, classes, docs, width, threshold)), release=True)
 
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     places = scanned.join(roots, scanned["cls"] == roots["node"], "left").select(
