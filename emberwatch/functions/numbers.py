@@ -25,6 +25,19 @@ def to_finite(column):
     return F.when(F.abs(number) <= _MOST, number)
 
 
+def web_number(column):
+    """The number of a web record's text, as a browser reads it: blanks around it do not count,
+    a text of blanks only is 0, and 0x, 0o and 0b begin whole numbers of other bases. Null for
+    an empty text and for what is not a finite number."""
+    text = column.cast("string")
+    body = F.regexp_replace(text, r"^\s+|\s+$", "")
+    number = to_finite(body)
+    for letter, digits, base in (("x", "0-9a-f", 16), ("o", "0-7", 8), ("b", "01", 2)):
+        based = body.rlike(f"^(?i)0{letter}[{digits}]+$")
+        number = F.when(based, F.conv(F.substring(body, 3, 64), base, 10).cast("double")).otherwise(number)
+    return F.when(text == "", F.lit(None)).when(body == "", 0.0).otherwise(number)
+
+
 def safe_float(column, default=None):
     """Finite number, else the default."""
     return F.coalesce(to_finite(column), F.lit(default).cast("double"))
@@ -32,7 +45,7 @@ def safe_float(column, default=None):
 
 def percent_clamped(column):
     """A 0..1 share as a percentage limited to 0..100; missing stays missing."""
-    percent = to_finite(column) * 100
+    percent = web_number(column) * 100
     return F.when(percent.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(100.0), percent)))
 
 

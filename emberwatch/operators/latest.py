@@ -1,5 +1,8 @@
 """The different meanings of "latest". They are not interchangeable."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,27 @@ def max_id_per_sensor(frame):
     return frame.groupBy("sensor_id").agg(F.max("id").alias("max_id"))
 
 
+#: Keys up to which the newest value of each is broadcast to thin the rows out.
+BROADCAST_KEYS = 200_000
+
+
+def _newest(frame, keys, column):
+    """The rows with the highest ``column`` of their keys, ties included.
+
+    A narrow aggregate finds the values, and a semi-join keeps their rows, so that wide rows
+    are neither sorted nor shuffled before they are few, however long a key has been silent.
+    The number of keys is counted first: beyond ``BROADCAST_KEYS`` all rows stay, as ranking
+    them moves fewer than a join would.
+    """
+    places = {name: f"newest_{place}" for place, name in enumerate([*keys, column])}
+    newest = frame.groupBy(*keys).agg(F.max(column).alias(places[column]))
+    newest = newest.withColumnsRenamed({name: places[name] for name in keys})
+    if newest.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS:
+        return frame
+    same = [frame[name].eqNullSafe(newest[place]) for name, place in places.items()]
+    return frame.join(F.broadcast(newest), reduce(and_, same), "left_semi")
+
+
 def _first(frame, keys, order):
     """The first row per key. Tasks keep one row per key before the shuffle, so a key that
     holds a large part of the table is no heavier than any other."""
@@ -26,7 +50,7 @@ def latest_by_max_id(frame, ordered=False, prune=False):
     rows = frame.filter(F.col("id").isNotNull())
     if prune:
         rows = rows.filter(F.col("id") >= latest_floor(frame, ["sensor_id"], "id"))
-    newest = _first(rows, ["sensor_id"], [F.desc("id")])
+    newest = _first(_newest(rows, ["sensor_id"], "id"), ["sensor_id"], [F.desc("id")])
     return newest.orderBy(F.desc("id")) if ordered else newest
 
 
@@ -51,6 +75,7 @@ def latest_abnormal(frame, code="prediction", ties=("id",), prune=False):
     abnormal = frame.filter(F.col(code).isin(ABNORMAL_CODES))
     if prune:
         abnormal = _not_before_latest(abnormal, ["sensor_id", "zone"], "timestamp")
+    abnormal = _newest(abnormal, ["sensor_id", "zone"], "timestamp")
     return _first(abnormal, ["sensor_id", "zone"], [F.desc("timestamp"), *[F.desc(name) for name in ties]])
 
 
@@ -58,6 +83,7 @@ def latest_by_time(records, prune=False):
     """Newest record per sensor by data time, then id; records from ``web.identify``."""
     if prune:
         records = _not_before_latest(records, ["sensor"], "order_time")
+    records = _newest(records, ["sensor"], "order_time")
     return _first(records, ["sensor"], [F.desc("order_time"), F.desc("order_id"), F.desc("id")])
 
 

@@ -21,7 +21,7 @@ def identify(records):
         {
             "sensor": places.record_sensor(c("sensor_id"), c("id")),
             "record_time": times.data_time_web(c("created_at"), c("timestamp")),
-            "order_id": F.coalesce(numbers.to_finite(c("id")), F.lit(0.0)),
+            "order_id": F.coalesce(numbers.web_number(c("id")), F.lit(0.0)),
         }
     )
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -92,12 +92,13 @@ def status_breakdown(overview, total=TOTAL_SENSORS):
 
 def web_alerts(latest, k=None):
     """Latest records with RISK or FIRE, newest first."""
-    alerts = latest.filter(F.col("status").isin(_ALERTS))
-    return alerts if k is None else newest_records(alerts, k)
+    return newest_records(latest.filter(F.col("status").isin(_ALERTS)), k)
 
 
-def newest_records(latest, k):
-    return latest.orderBy(F.desc("order_time"), F.desc("order_id"), F.desc("id")).limit(k)
+def newest_records(latest, k=None):
+    """The ``k`` newest records, or all of them, newest first."""
+    ordered = latest.orderBy(F.desc("order_time"), F.desc("order_id"), F.desc("id"))
+    return ordered if k is None else ordered.limit(k)
 
 
 def web_alert_totals(latest):

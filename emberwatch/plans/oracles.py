@@ -95,7 +95,7 @@ _CTES = {
            CASE WHEN p.id % 73 = 0 THEN NULL ELSE probability_risk END AS p_risk,
            probability_fire AS p_fire,
            CASE WHEN p.id % 103 = 0 THEN '' ELSE {_TEXT.format('created_at')} END AS created_text,
-           CASE WHEN p.id % 109 = 0 THEN 'soon' ELSE {_TEXT.format('"timestamp"')} END AS time_text
+           CASE WHEN p.id % 109 = 0 THEN 'soon' ELSE {_TEXT.format('"timestamp"')} END AS time_text, temperature
     FROM predictions p JOIN z ON z.zone = p.zone""",
     "named": f"""
     SELECT a.*, coalesce(a.sensor_id, a.id, 'UNKNOWN') AS sensor,
@@ -364,6 +364,8 @@ ORACLES = {
         "SELECT id, sensor, zone_name, web_status AS status, record_time FROM records ORDER BY order_time DESC, number DESC LIMIT 500", "records"),
     "top_alerts": _with(
         "SELECT id, sensor, web_status AS status FROM sensors WHERE web_status IN ('RISK', 'FIRE') ORDER BY order_time DESC, number DESC LIMIT 5", "sensors"),
+    "web_alert_list": _with(
+        "SELECT id, sensor, zone_name, web_status AS status, temperature, record_time FROM sensors WHERE web_status IN ('RISK', 'FIRE')", "sensors"),
     "compact_list": _with(
         "SELECT id, sensor, zone_name, web_status AS status, connection FROM sensors ORDER BY order_time DESC, number DESC LIMIT 6", "sensors"),
     "pick_identity": _with("SELECT id, sensor, raw_zone, zone_name FROM records", "records"),
@@ -461,5 +463,18 @@ ORACLES |= {
            GROUP BY "timestamp" ORDER BY "timestamp" DESC LIMIT 100""", "recent")
     for name in K.FEATURES if name != "temperature"
 }
+_MEASURED = " AND ".join(f"{name} IS NOT NULL" for name in K.FEATURES)
+_MODELS = [("RF", "random forest"), ("DT", "decision tree"), ("LR", "logistic regression")]
+ORACLES |= {
+    "model_facts": _with(
+        f"""SELECT m.model, m.family, TRUE AS accurate, (SELECT count(*) FROM predictions WHERE id % 5 = 0 AND {_MEASURED}) AS tested
+            FROM (VALUES {", ".join(f"('{short}{n}', '{family}')" for short, family in _MODELS for n in (1, 2, 3, 4))}) AS m(model, family)""", "predictions"),
+    "score_facts": _with(
+        f"SELECT id, TRUE AS sums_to_one, TRUE AS label_agrees, TRUE AS highest FROM predictions WHERE {_MEASURED}", "predictions"),
+    "importance_facts": f"SELECT {len(K.FEATURES)} AS features, 1.0::DOUBLE AS total, TRUE AS valid",
+    "training_quality": _with(
+        f"""SELECT count(*) AS rows, count(*) FILTER (WHERE {_MEASURED}) AS used, count(*) FILTER (WHERE NOT ({_MEASURED})) AS left_out
+            FROM predictions""", "predictions"),
+}
 ORACLES["data_check"] = _with(
     f"""SELECT id, sensor_id, zone, "timestamp", {', '.join(K.FEATURES)}, prediction_label FROM recent ORDER BY id DESC LIMIT 60""", "recent")

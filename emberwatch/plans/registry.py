@@ -1,5 +1,8 @@
 """Every query by name, over tables derived from a folder's ``events``."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import functions as F
 
 from emberwatch.constants import ABNORMAL_LABELS, FEATURES
@@ -15,6 +18,7 @@ from emberwatch.sources import events, readings
 NOW = "2024-01-31 00:00:00"
 STALE = 14_400
 DIGITS = 9  # means are compared to nine decimals
+ACCURACY_FLOOR = 0.8  # every model reaches it on the labels of the threshold rule
 
 c = F.col
 
@@ -361,6 +365,11 @@ def top_alerts(spark, folder):
     return web.web_alerts(_latest_records(spark, folder), 5).select("id", "sensor", "status")
 
 
+def web_alert_list(spark, folder):
+    shown = web.web_alerts(_latest_records(spark, folder))
+    return shown.select("id", "sensor", "zone_name", "status", numbers.web_number(c("temperature")).alias("temperature"), "record_time")
+
+
 def compact_list(spark, folder):
     return web.newest_records(_latest_records(spark, folder), 6).select("id", "sensor", "zone_name", "status", "connection")
 
@@ -417,14 +426,50 @@ def feature_importance(spark, folder):
 
 def model_leaderboard(spark, folder):
     train_rows, test_rows = _training(spark, folder)
-    board = training.model_leaderboard(spark, train_rows, test_rows, ["RF1", "DT1", "LR1"])
-    return board.drop("training_seconds", "settings")
+    return training.model_leaderboard(spark, train_rows, test_rows).drop("training_seconds", "settings")
 
 
 def pick_model(spark, folder):
     train_rows, test_rows = _training(spark, folder)
-    board = training.model_leaderboard(spark, train_rows, test_rows, ["DT1", "DT4", "LR1"])
-    return training.pick_model(board).select("model", "f1")
+    return training.pick_model(training.model_leaderboard(spark, train_rows, test_rows)).select("model", "f1")
+
+
+def model_facts(spark, folder):
+    """What must hold for each of the twelve models, whatever was learnt: rows tested, and a floor."""
+    train_rows, test_rows = _training(spark, folder)
+    board = training.model_leaderboard(spark, train_rows, test_rows)
+    tested = test_rows.agg(F.count("*").alias("tested"))
+    return board.select("model", "family", (c("accuracy") >= ACCURACY_FLOOR).alias("accurate"), tested.scalar().alias("tested"))
+
+
+def score_facts(spark, folder):
+    """For every scored row: shares that sum to one, and a label that agrees with the code and the highest share."""
+    shares = [c(name) for name in PROBABILITIES]
+    codes = F.array(*[F.when(share == F.greatest(*shares), F.lit(float(code))) for code, share in enumerate(shares)])
+    return score(spark, folder).select(
+        "id",
+        (F.abs(sum(shares[1:], shares[0]) - 1) < 1e-9).alias("sums_to_one"),
+        (c("prediction_label") == labels.class_label(c("prediction").cast("int"))).alias("label_agrees"),
+        F.array_contains(F.array_compact(codes), c("prediction")).alias("highest"),
+    )
+
+
+def importance_facts(spark, folder):
+    """The importances are shares of one, none of them negative."""
+    shares = feature_importance(spark, folder)
+    return shares.agg(
+        F.count("*").alias("features"),
+        F.round(F.sum("importance"), DIGITS).alias("total"),
+        F.bool_and(c("importance") >= 0).alias("valid"),
+    )
+
+
+def training_quality(spark, folder):
+    """Rows given to training and rows left out because a measure is missing or no number."""
+    unusable = reduce(or_, [c(name).isNull() | F.isnan(name) for name in FEATURES])
+    return _labelled(spark, folder).agg(
+        F.count("*").alias("rows"), F.count_if(~unusable).alias("used"), F.count_if(unusable).alias("left_out")
+    )
 
 
 QUERIES = {
@@ -502,6 +547,7 @@ QUERIES = {
     "latest_record": lambda s, f: latest.latest_record(_predictions(s, f)),
     "history_by_time": history_by_time,
     "top_alerts": top_alerts,
+    "web_alert_list": web_alert_list,
     "compact_list": compact_list,
     # scalars
     "pick_identity": pick_identity,
@@ -548,4 +594,9 @@ QUERIES = {
     "feature_importance": feature_importance,
     "model_leaderboard": model_leaderboard,
     "pick_model": pick_model,
+    "train_deployed_forest": _trained("RF3"),
+    "model_facts": model_facts,
+    "score_facts": score_facts,
+    "importance_facts": importance_facts,
+    "training_quality": training_quality,
 }

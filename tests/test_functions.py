@@ -159,3 +159,10 @@ def test_threshold_is_strict(spark):
     assert values(spark, given, "t double, s double", *columns) == [
         ("FIRE_RISK", 1), ("FIRE", 2), ("NORMAL", 0), ("FIRE_RISK", 1), ("FIRE", 2), ("FIRE", 2), ("NORMAL", 0),
     ]
+
+
+def test_web_numbers(spark):
+    cases = {"": None, " ": 0.0, "0x10": 16.0, " 0B101 ": 5.0, "0o17": 15.0, " 2.5\n": 2.5, "-0x1": None, "0x": None, "1d": None, "x": None, "1e400": None}
+    rows = spark.createDataFrame([(text,) for text in cases], "v string")
+    got = {row.v: row.n for row in rows.select("v", numbers.web_number(F.col("v")).alias("n")).collect()}
+    assert got == cases

@@ -265,3 +265,14 @@ def test_zone_names_from_a_table(spark):
     rows = table(spark, prediction(1), prediction(2, zone="Khu_Moi"))
     names = {row.id: row.zone_label for row in zones.zone_display(rows, zones.zone_dimension(spark)).collect()}
     assert names == {1: "Phòng Máy", 2: "Khu_Moi"}
+
+
+def test_latest_keeps_null_keys_and_ties(spark, monkeypatch):
+    rows = [("A", 1, "z", 1, "2024-01-01 00:00:00"), ("A", 5, "z", 2, "2024-01-02 00:00:00"), ("A", 6, "z", 2, "2024-01-02 00:00:00")]
+    rows += [(None, 2, "z", 1, None), (None, 3, None, 2, None), ("B", None, "z", 1, "2024-01-01 00:00:00")]
+    frame = spark.createDataFrame(rows, "sensor_id string, id long, zone string, prediction int, time string")
+    frame = frame.withColumn("timestamp", F.col("time").cast("timestamp_ntz"))
+    for most in (100, 0):
+        monkeypatch.setattr(latest, "BROADCAST_KEYS", most)
+        assert sorted(row.id for row in latest.latest_by_max_id(frame).collect()) == [3, 6]
+        assert sorted(row.id or 0 for row in latest.latest_abnormal(frame).collect()) == [0, 2, 3, 6]
