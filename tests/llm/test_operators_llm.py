@@ -280,6 +280,17 @@ def test_account_numbers_and_context(spark):
     assert pii.redact(docs).orderBy("pii").first().text == "iban <iban> x"
 
 
+def test_account_numbers_before_other_tokens(spark):
+    es, be, de = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"
+    texts = {f"{es} BIC": [es], "ES9121000418450200051332 12.50": ["ES9121000418450200051332"], "BE68539007547034 EUR": ["BE68539007547034"]}
+    texts |= {f"{be} {de}": [be, de], f"{de} {be} 1234 5678 😀 {es}": [de, be, es], f"ES91 2100 0418 4502 0005 {be}": [be], f"{be}X": [], f"{be[:-1]}5 EUR": []}
+    texts |= {f"{be} " * 150: [be] * 150, f"AB12 CD34 {be} your bank": [be]}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.find_personal_data(docs).collect():
+        assert [row.text[s.start : s.end] for s in row.pii if s.kind == "iban"] == texts[row.text], row.text
+        assert all(s.score == (1.0 if "bank" in row.text else 0.9) for s in row.pii if s.kind == "iban")
+
+
 def test_mixing(awkward, empty, spark):
     got = mixing.mix(awkward).toPandas()
     assert len(got) == len(AWKWARD) and (got.taken <= 2 * got["size"]).all()
