@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: a bound on the score, then Smith-Waterman alignment.
 
-Seeds are a test item's n-grams. A rare one, by the number of documents of the whole corpus
-that have it and against the other n-grams of its item, is enough to look closer; common ones
-have to occur together, as they do in any copy, also one that stands in very many documents.
-There the passage around is aligned with the item; local alignment forgives changed, added
-and missing words.
+Local alignment forgives changed, added and missing words. It is made wherever it can reach
+the score that counts, by a bound that nothing accepted escapes: each matched word is a word
+of the item that the passage has, and runs of matches are parted by an error each, so that
+without many neighbouring words in common nearly all words of the item have to be there.
+The bound needs no order and is had for all items at once.
 
 Test items are a stated query set: they are taken in blocks of bounded size, each of which
-is given to all tasks, and every block reads the documents twice (counting, aligning).
+is given to all tasks, and every block reads the documents once.
 """
 
 from dataclasses import dataclass
@@ -22,95 +22,107 @@ from emberwatch.llm.common import free_name, kept, sized
 
 @dataclass(frozen=True)
 class Settings:
-    #: Words of a seed. Items with fewer words have none and take no part.
-    words: int = 4
     match: int = 2
     mismatch: int = -1
     gap: int = -1
-    #: An n-gram in at most so many documents is rare, or in so many times the median's.
-    few: int = 16
-    many: float = 4.0
     #: Least share of the best possible score of the item, or
     share: float = 0.5
     #: so many points, which an unbroken copy of 25 words reaches.
     points: int = 50
+    #: The least share would be two neighbouring words of four. Short items need so many
+    #: points or this share, whichever is less.
+    short_points: int = 8
+    short_share: float = 0.7
     #: Bytes of item texts in a block.
     block_bytes: int = 8 << 20
 
 
-_FILTER_BITS = 22
+_FILTER_BITS = 20
 _RESULT = "doc_id long, text_key long, item_id long, score int, similarity double, seeds int, first_word int, last_word int"
 
 
-class Block:
-    """Items of one block: their words, and the sorted n-grams with their places in items."""
+class Index:
+    """Sorted hashes of all items, and for each the items that have it and how often."""
 
-    def __init__(self, ids, words, settings):
-        self.ids, self.words, self.settings = ids, words, settings
-        grams = [_grams(item, settings.words) for item in words]
-        counts = [len(part) for part in grams]
-        hashes = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        self.grams, places = np.unique(hashes, return_inverse=True)
-        order = np.argsort(places, kind="stable")
-        self.owners = np.repeat(np.arange(len(words)), counts)[order]
-        self.places = np.concatenate([*[np.arange(count) for count in counts], np.zeros(0, np.int64)]).astype(np.int64)[order]
-        self.offsets = np.searchsorted(places[order], np.arange(len(self.grams) + 1))
+    def __init__(self, lists):
+        hashes = np.concatenate([*lists, np.zeros(0, np.uint64)])
+        self.items = len(lists)
+        self.keys, numbers = np.unique(hashes, return_inverse=True)
+        pairs, self.times = np.unique(numbers * self.items + np.repeat(np.arange(self.items), [len(part) for part in lists]), return_counts=True)
+        self.owners = pairs % self.items
+        self.offsets = np.searchsorted(pairs // self.items, np.arange(len(self.keys) + 1))
         self.known = np.zeros(1 << _FILTER_BITS, bool)
-        self.known[self.grams >> np.uint64(64 - _FILTER_BITS)] = True
-
-    def occurrences(self, hashes):
-        """Places in ``hashes`` that hold n-grams of the block, and their numbers."""
-        at = np.flatnonzero(self.known[hashes >> np.uint64(64 - _FILTER_BITS)])
-        if not len(at):
-            return at, at
-        number = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
-        same = self.grams[number] == hashes[at]
-        return at[same], number[same]
-
-    def rare(self, counts):
-        """For every place of an n-gram whether it is rare: in few documents, or in not many
-        more than half of the n-grams of its item."""
-        number = np.repeat(np.arange(len(self.grams)), np.diff(self.offsets))
-        documents = counts[number]
-        median = np.array([np.median(documents[self.owners == item]) for item in range(len(self.ids))])
-        return documents <= np.maximum(self.settings.few, self.settings.many * median[self.owners])
-
-
-def _grams(words, size):
-    if len(words) < size:
-        return np.zeros(0, np.uint64)
-    count = len(words) - size + 1
-    hashes = np.full(count, size, np.uint64)
-    for place in range(size):
-        hashes = hashing.mix(hashes * np.uint64(0x9E3779B97F4A7C15) + words[place : place + count])
-    return hashes
-
-
-def _documents(batch, size):
-    """(row, words, n-grams) of each text; n-grams never cross texts."""
-    for first, count, words, bounds in hashing.texts_of_words(batch.column("text"), terms=True):
-        grams = _grams(words, size)
-        for row in range(count):
-            low, high = bounds[row], bounds[row + 1]
-            if high - low >= size:
-                yield first + row, words[low:high], grams[low : high - size + 1]
+        self.known[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
+    def counts(self, hashes):
+        """For every item, how many of its places hold one of ``hashes``."""
+        at = np.unique(hashes[self.known[hashes >> np.uint64(64 - _FILTER_BITS)]])
+        if not len(at) or not len(self.keys):
+            return np.zeros(self.items)
+        number = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        number = number[self.keys[number] == at]
+        per = self.offsets[number + 1] - self.offsets[number]
+        entry = np.repeat(self.offsets[number] - np.cumsum(per) + per, per) + np.arange(per.sum())
+        return np.bincount(self.owners[entry], self.times[entry], self.items)
 
-def _counter(broadcast):
-    """(number of an n-gram, documents that have it), summed over each batch."""
 
-    def rows(batches):
-        block = broadcast.value
-        for batch in batches:
-            counts = np.zeros(len(block.grams), np.int64)
-            for _, _, grams in _documents(batch, block.settings.words):
-                _, numbers = block.occurrences(grams)
-                if len(numbers):
-                    counts[np.unique(numbers)] += 1
-            seen = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], ["number", "documents"])
+class Block:
+    """Items of one block: their words and pairs of neighbouring words, the scores that
+    count, and the longest passages that can reach them."""
 
-    return rows
+    def __init__(self, ids, words, settings):
+        self.ids, self.words, self.settings = ids, words, settings
+        self.pairs = [_pairs(item) for item in words]
+        self.single, self.double = Index(words), Index(self.pairs)
+        best = settings.match * np.array([len(item) for item in words])
+        short = np.minimum(settings.short_points, settings.short_share * best)
+        self.needed = np.minimum(np.maximum(settings.share * best, short), settings.points)
+        self.error = min(-settings.mismatch, -settings.gap, settings.match)
+        self.reach = (best / settings.match + (best - self.needed) / self.error).astype(np.int64)
+
+    def bound(self, words, pairs):
+        """Most points of an alignment that matches at most so many words, and so many
+        words together with the next."""
+        return (self.settings.match - self.error) * words + self.error * (pairs + 1)
+
+    def windows(self, item, words, pairs):
+        """Stretches (first, last, pairs in common) of a document that can hold ``item``.
+        They overlap, so that each passage lies in one of them."""
+        reach = int(self.reach[item])
+        count = max(-(-len(words) // reach) - 1, 1)
+        single = _per_window(self.words[item], words, reach, count, 0)
+        common = _per_window(self.pairs[item], pairs, reach, count, 1)
+        for number in np.flatnonzero(self.bound(single, common) >= self.needed[item]):
+            yield number * reach, min((number + 2) * reach, len(words)), int(common[number])
+
+
+def _per_window(own, hashes, reach, count, short):
+    """How many places of ``own`` each of ``count`` windows of ``hashes`` has; they begin
+    every ``reach`` places and are ``2 * reach - short`` long."""
+    keys, times = np.unique(own, return_counts=True)
+    if not len(keys):
+        return np.zeros(count, np.int64)
+    number = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    at = np.flatnonzero(keys[number] == hashes)
+    window, inside, number = at // reach, at % reach, number[at]
+    earlier = inside < reach - short
+    window, number = np.concatenate([window, window[earlier] - 1]), np.concatenate([number, number[earlier]])
+    real = (window >= 0) & (window < count)
+    seen = np.zeros((count, len(keys)), bool)
+    seen[window[real], number[real]] = True
+    return seen @ times
+
+
+def _pairs(words):
+    return hashing.mix(hashing.mix(words[:-1]) * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+
+
+def _documents(batch):
+    """(row, words) of each text."""
+    for first, count, words, bounds in hashing.texts_of_words(batch.column("text"), terms=True, characters=True):
+        for row in range(count):
+            if bounds[row + 1] > bounds[row]:
+                yield first + row, words[bounds[row] : bounds[row + 1]]
 
 
 def align(item, passage, settings):
@@ -141,40 +153,26 @@ def align(item, passage, settings):
     return best
 
 
-def _regions(places, rare, slack):
-    """Neighbouring places joined to regions (first, last, places) that are worth aligning."""
-    order = np.argsort(places, kind="stable")
-    breaks = np.flatnonzero(np.diff(places[order]) > slack) + 1
-    parts = [(places[part], rare[part].any()) for part in np.split(order, breaks)]
-    return [(part[0], part[-1], len(part)) for part, is_rare in parts if is_rare or len(part) > 1]
-
-
 def _aligner(broadcast):
-    """The best alignment of each document with each item that shares seeds with it."""
+    """The best alignment of each document with each item that it can hold."""
 
     def rows(batches):
-        block, rare = broadcast.value
+        block = broadcast.value
         settings = block.settings
         for batch in batches:
             found = []
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            for row, words, grams in _documents(batch, settings.words):
-                at, numbers = block.occurrences(grams)
-                if not len(at):
-                    continue
-                per = block.offsets[numbers + 1] - block.offsets[numbers]
-                entry = np.repeat(block.offsets[numbers] - np.cumsum(per) + per, per) + np.arange(per.sum())
-                owners, starts = block.owners[entry], np.repeat(at, per) - block.places[entry]
-                for item in np.unique(owners):
-                    size = len(block.words[item])
-                    own, most = owners == item, None
-                    for first, last, seeds in _regions(starts[own], rare[entry[own]], size):
-                        low, high = max(0, first - size // 2), min(len(words), last + size + size // 2)
+            for row, words in _documents(batch):
+                pairs = _pairs(words)
+                most_points = block.bound(block.single.counts(words), block.double.counts(pairs))
+                for item in np.flatnonzero(most_points >= block.needed):
+                    most = None
+                    for low, high, seeds in block.windows(item, words, pairs):
                         score, begin, end = align(block.words[item], words[low:high], settings)
                         if most is None or score > most[0]:
                             most = (score, low + begin, low + end, seeds)
-                    if most is not None and most[0] >= min(settings.share * settings.match * size, settings.points):
-                        share = most[0] / (settings.match * size)
+                    if most is not None and most[0] >= block.needed[item]:
+                        share = most[0] / (settings.match * len(block.words[item]))
                         found.append((ids[row], keys[row], block.ids[item], most[0], share, most[3], most[1], most[2]))
             columns = list(zip(*found)) if found else [[]] * 8
             kinds = [pa.int64()] * 3 + [pa.int32(), pa.float64()] + [pa.int32()] * 3
@@ -195,9 +193,9 @@ def _blocks(benchmark, settings):
         ids, words = [], []
         for batch in part.to_batches():
             names = batch.column("item_id").to_pylist()
-            for first, rows, hashes, bounds in hashing.texts_of_words(batch.column("text"), terms=True):
+            for first, rows, hashes, bounds in hashing.texts_of_words(batch.column("text"), terms=True, characters=True):
                 for row in range(rows):
-                    if bounds[row + 1] - bounds[row] >= settings.words:
+                    if bounds[row + 1] > bounds[row]:
                         ids.append(names[first + row])
                         words.append(hashes[bounds[row] : bounds[row + 1]])
         if ids:
@@ -209,8 +207,9 @@ def contaminated(docs, benchmark, settings=None):
 
     ``docs`` (doc_id, text), ``benchmark`` (item_id, text). Gives doc_id, text_key (a hash
     of the text, to find the row again), item_id, score, similarity (score against that of
-    the whole item), seeds in the aligned region, first_word and last_word of the passage.
-    Case and punctuation do not count. Null and empty texts and items hold nothing; repeated
+    the whole item), seeds (pairs of neighbouring words in common), first_word and last_word of the passage.
+    Case and punctuation do not count; characters of scripts without spaces count as words.
+    Items of any length take part. Null and empty texts and items hold nothing; repeated
     rows and items each give a row; empty tables give no rows; other columns are ignored.
     """
     settings = settings or Settings()
@@ -219,12 +218,7 @@ def contaminated(docs, benchmark, settings=None):
     found = spark.createDataFrame([], _RESULT)
     for block in _blocks(benchmark, settings):
         shared = spark.sparkContext.broadcast(block)
-        counted = docs.mapInArrow(_counter(shared), "number int, documents long").groupBy("number").agg(F.sum("documents").alias("documents"))
-        counts = np.zeros(len(block.grams), np.int64)
-        table = counted.toArrow()
-        counts[table.column("number").to_numpy()] = table.column("documents").to_numpy()
-        seeds = spark.sparkContext.broadcast((block, block.rare(counts)))
-        found = found.unionAll(docs.mapInArrow(_aligner(seeds), _RESULT))
+        found = found.unionAll(docs.mapInArrow(_aligner(shared), _RESULT))
     return found
 
 

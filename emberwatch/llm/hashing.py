@@ -75,8 +75,29 @@ def row_slices(offsets, size=SLICE):
         first = last
 
 
-def _word_bounds(data, row_starts, between):
+def _wide(data):
+    """Starts and lengths of characters that are terms of their own, and whether they are
+    punctuation: all of three bytes and more but Latin and Greek letters. That holds the
+    scripts that put no spaces between words."""
+    at = np.flatnonzero(data >= 0xE0)
+    lead, second = data[at].astype(np.int64), data[np.minimum(at + 1, max(len(data) - 1, 0))].astype(np.int64)
+    third = data[np.minimum(at + 2, max(len(data) - 1, 0))].astype(np.int64)
+    point = np.where(lead < 0xF0, (lead & 15) << 12 | (second & 63) << 6 | third & 63, 0x10000)
+    letter = (point >= 0x1E00) & (point <= 0x1FFF)
+    at, lead, point = at[~letter], lead[~letter], point[~letter]
+    mark = (point >= 0x2000) & (point <= 0x206F) | (point >= 0x3000) & (point <= 0x3003) | (point >= 0x3008) & (point <= 0x3020) | (point == 0x30FB)
+    mark |= (point >= 0xFF01) & (point <= 0xFF0F) | (point >= 0xFF1A) & (point <= 0xFF20) | (point >= 0xFF3B) & (point <= 0xFF40) | (point >= 0xFF5B) & (point <= 0xFF65)
+    return at, np.where(lead < 0xF0, 3, 4), mark
+
+
+def _word_bounds(data, row_starts, between, characters=False):
     inside = ~between[data]
+    cut = np.zeros(len(data) + 1, bool)
+    if characters:
+        at, size, mark = _wide(data)
+        cut[at] = cut[at + size] = True
+        for place in range(4):
+            inside[at[mark & (size > place)] + place] = False
     before = np.empty(len(data), bool)
     before[:1] = False
     before[1:] = inside[:-1]
@@ -86,12 +107,15 @@ def _word_bounds(data, row_starts, between):
     after[:-1] = inside[1:]
     ends = row_starts[(row_starts > 0) & (row_starts <= len(data))]
     after[ends - 1] = False
+    before &= ~cut[:-1]
+    after &= ~cut[1:]
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def word_spans(data, offsets, terms=False):
-    """Starts and ends of all words; with ``terms``, punctuation separates words too."""
-    return _word_bounds(data, offsets, BETWEEN_TERMS if terms else _SPACES)
+def word_spans(data, offsets, terms=False, characters=False):
+    """Starts and ends of all words; with ``terms``, punctuation separates words too, with
+    ``characters`` those of scripts without spaces are words of their own."""
+    return _word_bounds(data, offsets, BETWEEN_TERMS if terms else _SPACES, characters)
 
 
 def _cuts(starts, ends, length, size):
@@ -114,13 +138,13 @@ def word_hashes(data, starts, ends, codes=LOWER_CODES):
     return hashes
 
 
-def texts_of_words(column, terms=False, size=SLICE):
+def texts_of_words(column, terms=False, size=SLICE, characters=False):
     """For slices of rows: first row, row count, word hashes, offsets of the rows into them."""
     data, offsets = column_bytes(column)
     for first, last in row_slices(offsets, size):
         low, high = offsets[first], offsets[last]
         part = data[low:high]
-        starts, ends = word_spans(part, offsets[first : last + 1] - low, terms)
+        starts, ends = word_spans(part, offsets[first : last + 1] - low, terms, characters)
         bounds = np.searchsorted(starts, offsets[first : last + 1] - low)
         yield first, last - first, word_hashes(part, starts, ends), bounds
 

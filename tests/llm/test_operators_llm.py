@@ -155,6 +155,39 @@ def test_decontamination(spark, empty):
     assert decontaminate.contaminated(empty, items).count() == 0 and decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_and_unspaced_items(spark):
+    chinese, thai = "地球到月球的平均距离是多少公里？", "กรุงเทพมหานครเป็นเมืองหลวง"
+    items = spark.createDataFrame([(1, chinese), (2, thai), (3, "Quick brown fox"), (4, "xylophone"), (5, "p q r s")], "item_id long, text string")
+    texts = [f"前言。{chinese}后记", "问题：地球到月球的平均距离大约是多少公里", f"x {thai} y", "the quick, brown FOX runs", "a xylophone", "quick brown dog", "月亮很远", "p q x x r s", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items).collect()
+    assert sorted((row.doc_id, row.item_id) for row in got) == [(0, 1), (1, 1), (2, 2), (3, 3), (4, 4), (7, 5)]
+    assert {row.doc_id for row in decontaminate.without_contaminated(docs, items).collect()} == {5, 6, 8}
+
+
+def test_decontamination_finds_what_the_alignment_accepts(spark):
+    rng = np.random.default_rng(9)
+    vocabulary = [f"w{n}" for n in range(60)]  # so few words that every pair is common
+    pick = lambda count: [vocabulary[int(n)] for n in rng.integers(0, 60, count)]
+    items = [pick(size) for size in (8, 8, 15, 15, 30, 70)]
+    texts = []
+    for n in range(240):
+        copy = [(pick(1)[0] if rng.random() < 0.3 else word) for word in items[n % 6]]
+        texts.append(pick(int(rng.integers(0, 120))) + copy + pick(int(rng.integers(0, 120))))
+    texts.append([word for pair in zip(items[2], ["new"] * 15) for word in pair])  # no two words together
+    docs = spark.createDataFrame([(n, " ".join(text)) for n, text in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(item)) for n, item in enumerate(items)], "item_id long, text string")
+    settings, number = decontaminate.Settings(), {word: n for n, word in enumerate([*vocabulary, "new"])}
+    expected = {}
+    for n, text in enumerate(texts):
+        for k, item in enumerate(items):
+            score = decontaminate.align(np.array([number[w] for w in item]), np.array([number[w] for w in text]), settings)[0]
+            if score >= min(len(item), 50):
+                expected[n, k] = score
+    assert {(row.doc_id, row.item_id): row.score for row in decontaminate.contaminated(docs, bench).collect()} == expected
+    assert (240, 2) in expected
+
+
 def test_alignment_against_the_plain_table():
     rng, settings = np.random.default_rng(5), decontaminate.Settings()
     for _ in range(50):
