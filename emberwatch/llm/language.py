@@ -7,7 +7,8 @@ Three kinds of evidence about a page are put together by Bayes' rule:
 * its address: a prior for its host, smoothed towards its domain, that towards the address
   suffix, and that towards all pages. All of these are grouped sums.
 
-A page's own text is taken out of the counts of its host before they serve as its prior.
+A page without a trigram says nothing about its language by its text, and is not counted for
+any. A page's own text is taken out of the counts of its host before they serve as its prior.
 """
 
 import re
@@ -90,13 +91,15 @@ def _read_pages(broadcast, settings):
         for batch in batches:
             texts = [_DROPPED.sub(" ", html) if html else "" for html in batch.column("html").to_pylist()]
             scores = np.zeros((len(texts), len(languages)))
+            read = np.zeros(len(texts), bool)
             for first, count, row, terms in _trigrams(pa.array(texts, pa.string()), settings.hash_bits):
                 totals = np.stack([np.bincount(row, log[terms], count) for log in logs], 1)
                 seen = np.bincount(row, minlength=count)
+                read[first : first + count] = seen > 0
                 scores[first : first + count] = totals * np.minimum(1, settings.most_evidence / np.maximum(seen, 1))[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * len(languages), pa.int32()), pa.array(scores.ravel()))
             arrays = [column for column, name in zip(batch.columns, batch.schema.names) if name != "html"]
-            yield pa.RecordBatch.from_arrays([*arrays, lists], [*[n for n in batch.schema.names if n != "html"], "text_scores"])
+            yield pa.RecordBatch.from_arrays([*arrays, lists, pa.array(read)], [*[n for n in batch.schema.names if n != "html"], "text_scores", "has_text"])
 
     return rows
 
@@ -119,7 +122,7 @@ def identify(pages, docs, settings=None):
 
     Gives page_id, host, declared, text_lang (by the text alone), lang and probability. A
     page without text, declaration or address has less evidence, not none: its prior
-    remains. If no document has a language, lang and probability are null. Of equally
+    remains, and its text_lang is null if its text has no trigram. If no document has a language, lang and probability are null. Of equally
     probable languages the first by name is taken. Repeated rows get equal results; an empty
     table gives no rows; other columns are ignored.
     """
@@ -131,9 +134,9 @@ def identify(pages, docs, settings=None):
     if not languages:
         return rows.select("page_id", "host", "declared", *[F.lit(None).cast(k).alias(n) for n, k in (("text_lang", "string"), ("lang", "string"), ("probability", "double"))])
     model = spark.sparkContext.broadcast((languages, logs))
-    read = rows.mapInArrow(_read_pages(model, settings), "page_id long, host string, declared string, text_scores array<double>")
+    read = rows.mapInArrow(_read_pages(model, settings), "page_id long, host string, declared string, text_scores array<double>, has_text boolean")
     names = F.array(*[F.lit(name) for name in languages])
-    best = names[F.array_position("text_scores", F.array_max("text_scores")).cast("int") - 1]
+    best = F.when(F.col("has_text"), names[F.array_position("text_scores", F.array_max("text_scores")).cast("int") - 1])
     declared = F.when(F.col("declared").isin(languages), F.col("declared")).when(F.col("declared") == "", "").otherwise("other")
     read = read.withColumn("text_lang", best).withColumn("said", declared)
     read = read.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)).withColumn("suffix", F.regexp_extract("host", r"([^.]+)$", 1))
@@ -151,7 +154,7 @@ def identify(pages, docs, settings=None):
     domain_prior = domains.join(sized(suffix_prior), "suffix").select("domain", "suffix", _smoothed(F.col("own"), F.col("above"), weight).alias("above"))
     host_prior = kept(hosts.join(sized(domain_prior), ["domain", "suffix"]).select("host", "own", "above"))
 
-    said = kept(read.groupBy("text_lang", "said").count())
+    said = kept(read.filter("text_lang IS NOT NULL").groupBy("text_lang", "said").count())
     table = {(row["text_lang"], row["said"]): row["count"] for row in said.collect()}  # languages squared, about
     kinds = ["", "other", *languages]
 
@@ -163,7 +166,7 @@ def identify(pages, docs, settings=None):
     for kind in kinds:
         logs_said = F.when(F.col("said") == kind, F.array(*[F.lit(declared_log(kind, name)) for name in languages])).otherwise(logs_said)
     joined = read.join(sized(host_prior), "host")
-    others = F.zip_with("own", names, lambda n, name: n - F.when(name == F.col("text_lang"), 1.0).otherwise(0.0))
+    others = F.zip_with("own", names, lambda n, name: n - F.when(name.eqNullSafe(F.col("text_lang")), 1.0).otherwise(0.0))
     prior = F.transform(_smoothed(others, F.col("above"), weight), lambda p: F.log(p))
     add = lambda a, b: a + b
     joined = joined.withColumn("logs", F.zip_with(F.zip_with("text_scores", logs_said, add), prior, add))

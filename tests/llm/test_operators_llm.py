@@ -248,6 +248,19 @@ def test_language_evidence(spark):
     assert language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs.limit(0)).filter("lang IS NOT NULL").count() == 0
 
 
+def test_pages_without_text_are_no_votes(spark):
+    docs = spark.createDataFrame([("the cat and the dog with that thing", "en"), ("der hund und die katze mit dem ding", "de")], "text string, lang string")
+    empty_html = [None, "", "<html lang=en><img src=x></html>", "<p>1 2 3</p>"]
+    pages = [(n, "http://hot.example.com/", empty_html[n % 4]) for n in range(400)] + [(1000 + n, "http://hot.example.com/", "<p>the dog and the cat</p>") for n in range(4)]
+    pages += [(2000, "http://hot.example.com/", "<p>a b</p>")] + [(3000 + n, "http://x.example.org/", "<html lang=de><p>und die katze mit dem hund</p>") for n in range(5)]
+    got = {row.page_id: row for row in language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
+    assert len(got) == len(pages) and all(got[n].text_lang is None and got[n].lang == "en" for n in range(400))
+    assert got[1000].text_lang == got[1000].lang == got[2000].lang == "en" and got[3000].lang == "de"
+    alone = language.identify(spark.createDataFrame(pages[400:], "page_id long, url string, html string"), docs).collect()
+    for row in alone:  # the empty pages change nothing for the others
+        assert (row.lang, round(row.probability, 9)) == (got[row.page_id].lang, round(got[row.page_id].probability, 9))
+
+
 def test_toxicity_learns_a_pair(spark, empty):
     rng = np.random.default_rng(2)
     rows = []
