@@ -34,7 +34,8 @@ class Settings:
 
 
 _DROPPED = re.compile(r"<!--.*?-->|<(script|style|nav)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
-_DECLARED = r"(?i)<html\b[^>]{0,500}?\blang\s*=\s*[\"']?\s*([a-z]{2,3})"
+#: A tag that begins inside another is looked at from its own start only, so no page is read twice.
+_DECLARED = r"(?i)<html\b(?:(?!<html\b)[^>])*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})"
 
 
 def _trigrams(column, bits):

@@ -261,6 +261,13 @@ def test_pages_without_text_are_no_votes(spark):
         assert (row.lang, round(row.probability, 9)) == (got[row.page_id].lang, round(got[row.page_id].probability, 9))
 
 
+def test_declared_behind_long_attributes(spark):
+    docs = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string")
+    html = [f'<HTML data-x="{"y " * 30_000}" lang="DE-at"><p>', '<html data-x="<html" lang=de>', "<html class=ie><html lang=de>", "<html " * 5_000, "<html><p lang=de>"]
+    got = language.identify(spark.createDataFrame([(n, None, text) for n, text in enumerate(html)], "page_id long, url string, html string"), docs).collect()
+    assert {row.page_id: row.declared for row in got} == {0: "de", 1: "de", 2: "de", 3: "", 4: ""}
+
+
 def test_toxicity_learns_a_pair(spark, empty):
     rng = np.random.default_rng(2)
     rows = []
