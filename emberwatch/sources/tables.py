@@ -1,5 +1,7 @@
 """The prediction table, as files or over JDBC."""
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from emberwatch import schemas
@@ -69,18 +71,29 @@ def write_batch(frame, path, batch_id):
 
 
 def with_row_ids(frame, batch_id):
-    """Adds ``id``, higher for later batches: batch, then task, then row.
+    """Adds ``id``, higher for later batches: 25 bits of batch, 38 of the row's place in it.
 
-    25 bits of batch, 14 of task and 24 of row; a batch that does not fit fails rather
-    than reuse a number.
+    Places are dense: a task's rows follow those of the tasks before, whose numbers of rows
+    are counted first, so it does not matter how a batch is dealt over tasks. ``frame`` has to
+    give the same rows to the same tasks again, as a persisted batch does; else it fails
+    rather than reuse a number.
     """
     if batch_id >= 1 << 25:
         raise ValueError("batch number too large for row ids")
-    local = F.monotonically_increasing_id()
-    task, row = F.shiftright(local, 33), local.bitwiseAND(F.lit((1 << 33) - 1))
-    packed = F.lit(batch_id << 38) + F.shiftleft(task, 24) + row
-    fits = (task < (1 << 14)) & (row < (1 << 24))
-    return frame.withColumn("id", F.when(fits, packed).otherwise(F.raise_error(F.lit("batch too large for row ids"))))
+    task = F.spark_partition_id()
+    counts = sorted(tuple(row) for row in frame.groupBy(task.alias("task")).count().collect())  # one row a task
+    ends = list(itertools.accumulate(count for _, count in counts))
+    if ends and ends[-1] > 1 << 38:
+        raise ValueError("batch too large for row ids")
+    places = [(number, end - count, count) for (number, count), end in zip(counts, ends)]
+    offsets = frame.sparkSession.createDataFrame(places, "id_task int, id_offset long, id_count long")
+    local = F.monotonically_increasing_id() - F.shiftleft(task.cast("long"), 33)
+    rows = frame.select(F.struct(*frame.columns).alias("id_data"), task.alias("id_task"), local.alias("id_row"))
+    joined = rows.join(F.broadcast(offsets), "id_task", "left")
+    packed = F.lit(batch_id << 38) + F.col("id_offset") + F.col("id_row")
+    numbered = F.when(F.col("id_row") < F.col("id_count"), packed).otherwise(F.raise_error(F.lit("rows of a task changed while they were numbered")))
+    kept = [F.col("id_data")[name].alias(name) for name in frame.columns if name.lower() != "id"]
+    return joined.select(*kept, numbered.alias("id"))
 
 
 def write_alert_csv(frame, path):

@@ -107,6 +107,16 @@ def test_row_ids_grow_with_batches(spark):
         tables.with_row_ids(frame, 1 << 25).collect()
 
 
+def test_row_ids_of_a_large_task(spark):
+    rows = (1 << 24) + 5  # more than a task could number before
+    frame = spark.range(0, rows, 1, 1).select(F.lit(1).alias("x")).unionAll(spark.range(0, 7, 1, 3).select(F.lit(2)))
+    ids = tables.with_row_ids(frame, 3).agg(F.count("id"), F.min("id"), F.max("id")).first()
+    assert tuple(ids) == (rows + 7, 3 << 38, (3 << 38) + rows + 6)
+    few = tables.with_row_ids(spark.range(0, 100, 1, 9).filter("id % 20 > 3").withColumnRenamed("id", "task"), 0)
+    assert few.columns == ["task", "id"] and sorted(row.id for row in few.collect()) == list(range(80))
+    assert tables.with_row_ids(spark.range(0).withColumnRenamed("id", "x"), 1).count() == 0
+
+
 def test_alert_csv_opens_with_a_mark(spark, folder, tmp_path):
     log = boards.incident_log(boards.recent(events.predictions(spark, folder), "2024-01-31 00:00:00"))
     tables.write_alert_csv(log, str(tmp_path / "log"))
