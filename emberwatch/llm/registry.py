@@ -1,10 +1,12 @@
 """Queries of the operators by name, over the tables of a folder."""
 
 from fractions import Fraction
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pii, sharding, suffix_dedup, toxicity
+from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pieces, pii, sharding, suffix_dedup, toxicity
 from emberwatch.llm.common import table
 from emberwatch.llm.oracles import ORACLES
 
@@ -63,6 +65,16 @@ def op10_sharding(spark, folder):
     )
 
 
+def op11_pieces(spark, folder):
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs, model, keep_text=False)
+    size = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    digests = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("spans", 256).alias("spans_sha256")]
+    read = pieces.decode(coded.select("doc_id", size, *digests, "ids"), model, keep_ids=False)
+    return read.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "spans_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_nearest": op2_nearest,
@@ -74,4 +86,5 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
+    "op11_pieces": op11_pieces,
 }
