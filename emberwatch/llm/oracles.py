@@ -63,6 +63,52 @@ SELECT doc_id, size,
        'bytes' AS law, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS BIGINT) AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM sharded, bits
+""",
+    "op12_variants": r"""
+WITH RECURSIVE bits AS (
+    SELECT list_transform(range(256), lambda byte: list_reduce(
+        list_prepend(CAST(byte AS BIGINT), range(8)),
+        lambda crc, ignored: CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END)) AS crc_of
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run
+), coded AS (
+    SELECT run, times,
+           xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT),
+                            list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'),
+                                           lambda byte: CAST('0x' || byte AS BIGINT))),
+               lambda crc, byte: xor(crc >> 8, crc_of[xor(crc & 255, byte) + 1])), CAST(4294967295 AS BIGINT)) AS h
+    FROM counted, bits
+), noisy AS (
+    SELECT times, CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+    FROM coded
+), words AS MATERIALIZED (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM noisy WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS MATERIALIZED (
+    SELECT word, n, spot, substr(word, 1, spot - 1) || substr(word, spot + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS spot FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.spot = b.spot AND a.word <> b.word
+    UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM pairs
+), formed AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+           CASE WHEN r.near_n >= 2 * w.n THEN r.near END AS form, CASE WHEN r.near_n >= 2 * w.n THEN r.near_n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+), chain AS (
+    SELECT word, word AS reached, 0 AS links FROM formed
+    UNION ALL
+    SELECT c.word, f.form, c.links + 1 FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT word, arg_max(reached, links) AS root FROM chain GROUP BY word
+)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e USING (word)
 """,
     "op4_chat": """
 WITH turns AS (

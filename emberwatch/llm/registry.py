@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pieces, pii, sharding, suffix_dedup, toxicity
+from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pieces, pii, sharding, suffix_dedup, toxicity, variants
 from emberwatch.llm.common import table
 from emberwatch.llm.oracles import ORACLES
 
@@ -75,6 +75,11 @@ def op11_pieces(spark, folder):
     return read.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "spans_sha256")
 
 
+def op12_variants(spark, folder):
+    found = variants.spelling_variants(table(spark, folder, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_nearest": op2_nearest,
@@ -87,4 +92,5 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
     "op11_pieces": op11_pieces,
+    "op12_variants": op12_variants,
 }
