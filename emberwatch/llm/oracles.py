@@ -63,6 +63,46 @@ SELECT doc_id, size,
        'bytes' AS law, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY key) - 1 AS BIGINT) AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM sharded, bits
+""",
+    "op13_divergence": r"""
+WITH rows AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM rows
+), met AS (
+    SELECT row, lang, source, unnest(found) AS term FROM rows
+), terms AS MATERIALIZED (
+    SELECT lang, term, count(*)::HUGEINT AS n FROM met GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), counts AS MATERIALIZED (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM met JOIN terms USING (lang, term) GROUP BY ALL
+), langs AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM terms GROUP BY lang
+), totals AS (
+    SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL
+), shares AS MATERIALIZED (
+    SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * l.v) AS p,
+           1 + (1000000000 * (t.n + 5)) // (l.total + 5 * l.v) AS q
+    FROM groups g JOIN terms t ON t.lang = g.lang JOIN langs l ON l.lang = g.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+    LEFT JOIN totals s ON s.lang = g.lang AND s.source = g.source
+), differences AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), ranked AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN differences d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM ranked
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+FROM placed WHERE part = 'pair' OR place <= 50
 """,
     "op12_variants": r"""
 WITH RECURSIVE bits AS (

@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pieces, pii, sharding, suffix_dedup, toxicity, variants
+from emberwatch.llm import chat, decontaminate, divergence, jaccard_join, language, mixing, nearest, pieces, pii, sharding, suffix_dedup, toxicity, variants
 from emberwatch.llm.common import table
 from emberwatch.llm.oracles import ORACLES
 
@@ -80,6 +80,10 @@ def op12_variants(spark, folder):
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_nearest": op2_nearest,
@@ -93,4 +97,5 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_pieces": op11_pieces,
     "op12_variants": op12_variants,
+    "op13_divergence": op13_divergence,
 }
