@@ -478,3 +478,11 @@ ORACLES |= {
 }
 ORACLES["data_check"] = _with(
     f"""SELECT id, sensor_id, zone, "timestamp", {', '.join(K.FEATURES)}, prediction_label FROM recent ORDER BY id DESC LIMIT 60""", "recent")
+ORACLES |= {
+    "maintained_latest_by_max_id": ORACLES["latest_by_max_id"],
+    "maintained_latest_abnormal": ORACLES["latest_abnormal"],
+    "maintained_latest_by_time": _with("SELECT id, sensor, record_time FROM sensors", "sensors"),
+    "stored_recent_history": ORACLES["recent_history"],
+    "stored_history_by_time": _with("SELECT id, sensor, record_time FROM records ORDER BY order_time DESC, number DESC LIMIT 500", "records"),
+    "rising_ids": "SELECT count(*) AS rows, count(*) AS ids, TRUE AS rising FROM events",
+}

@@ -9,7 +9,7 @@ from emberwatch.constants import ABNORMAL_LABELS, FEATURES
 from emberwatch.functions import display, labels, numbers, places, times
 from emberwatch.ml import training
 from emberwatch.operators import alerts, clean, explore, freshness, history, latest, metrics, trend, web, zones
-from emberwatch.plans import boards
+from emberwatch.plans import boards, stored
 from emberwatch.schemas import PREDICTION_COLUMNS, PROBABILITIES
 from emberwatch.sources import events, readings
 
@@ -474,7 +474,6 @@ def training_quality(spark, folder):
 
 QUERIES = {
     # sources, parsing, projection
-    "read_predictions": lambda s, f: _predictions(s, f).select(*PREDICTION_COLUMNS),
     "load_frame": load_frame,
     "parse_json": parse_json,
     "validate_readings": lambda s, f: clean.validate_readings(parse_json(s, f)),
@@ -600,3 +599,4 @@ QUERIES = {
     "importance_facts": importance_facts,
     "training_quality": training_quality,
 }
+QUERIES |= stored.QUERIES

@@ -5,13 +5,17 @@ import itertools
 from pyspark.sql import functions as F
 
 from emberwatch import schemas
-
-# A day of batches at the usual trigger; keeps the number of folders per level moderate.
-BATCHES_PER_GROUP = 2880
+from emberwatch.sources.batches import BatchLog, batch_folder, stream_identity
 
 
 def read_predictions(spark, path, fmt="parquet"):
-    """The fixed columns of a prediction table stored as files; nothing else is read."""
+    """The fixed columns of a prediction table stored as files; nothing else is read.
+
+    A table that has a log is read by it, others by listing their folder.
+    """
+    log = BatchLog(spark, path)
+    if fmt == "parquet" and log.exists():
+        return log.read().select(*schemas.PREDICTION_COLUMNS)
     return spark.read.format(fmt).load(path).select(*schemas.PREDICTION_COLUMNS)
 
 
@@ -46,19 +50,6 @@ def append_predictions_jdbc(frame, url, table, properties=None):
     frame.select(*schemas.SCORED_COLUMNS).write.jdbc(url=url, table=table, mode="append", properties=properties or {})
 
 
-def batch_folder(path, batch_id, stream="none"):
-    return f"{path}/stream={stream}/batch_group={batch_id // BATCHES_PER_GROUP}/batch_id={batch_id}"
-
-
-def stream_identity(spark):
-    """Identity of the streaming query that handles a batch; it lives in its checkpoint.
-
-    A restarted query keeps it, one with a fresh checkpoint gets another. Outside a stream
-    it is ``none``.
-    """
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-
-
 def write_batch(frame, path, batch_id):
     """Write one micro-batch to its own folder, replacing what an earlier try left there.
 
@@ -70,16 +61,18 @@ def write_batch(frame, path, batch_id):
     frame.write.mode("overwrite").parquet(batch_folder(path, batch_id, stream_identity(frame.sparkSession)))
 
 
-def with_row_ids(frame, batch_id):
-    """Adds ``id``, higher for later batches: 25 bits of batch, 38 of the row's place in it.
+def with_row_ids(frame, number):
+    """Adds ``id``: 25 bits of the batch's number, 38 of the row's place in it.
+
+    ``BatchLog.claim`` gives numbers that rise over all streams that write a table.
 
     Places are dense: a task's rows follow those of the tasks before, whose numbers of rows
     are counted first, so it does not matter how a batch is dealt over tasks. ``frame`` has to
     give the same rows to the same tasks again, as a persisted batch does; else it fails
     rather than reuse a number.
     """
-    if batch_id >= 1 << 25:
-        raise ValueError("batch number too large for row ids")
+    if number >= 1 << 25:
+        raise ValueError("number of the batch too large for row ids")
     task = F.spark_partition_id()
     counts = sorted(tuple(row) for row in frame.groupBy(task.alias("task")).count().collect())  # one row a task
     ends = list(itertools.accumulate(count for _, count in counts))
@@ -90,7 +83,7 @@ def with_row_ids(frame, batch_id):
     local = F.monotonically_increasing_id() - F.shiftleft(task.cast("long"), 33)
     rows = frame.select(F.struct(*frame.columns).alias("id_data"), task.alias("id_task"), local.alias("id_row"))
     joined = rows.join(F.broadcast(offsets), "id_task", "left")
-    packed = F.lit(batch_id << 38) + F.col("id_offset") + F.col("id_row")
+    packed = F.lit(number << 38) + F.col("id_offset") + F.col("id_row")
     numbered = F.when(F.col("id_row") < F.col("id_count"), packed).otherwise(F.raise_error(F.lit("rows of a task changed while they were numbered")))
     kept = [F.col("id_data")[name].alias(name) for name in frame.columns if name.lower() != "id"]
     return joined.select(*kept, numbered.alias("id"))

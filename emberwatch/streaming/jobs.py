@@ -13,6 +13,7 @@ from emberwatch.operators.clean import prediction_projection, scorable_readings,
 from emberwatch.operators.history import abnormal_only
 from emberwatch.operators.latest import latest_abnormal
 from emberwatch.schemas import PREDICTION_COLUMNS
+from emberwatch.sources.batches import BatchLog, stream_identity
 from emberwatch.sources.tables import append_predictions_jdbc, with_row_ids, write_batch
 
 _MESSAGE_ORDER = ["severity_rank", "part"]
@@ -58,13 +59,18 @@ def write_alerts(abnormal, alerts_path, batch_id):
         newest.unpersist()
 
 
-def file_sink(path):
-    """Sink that stores each batch once, whatever is replayed."""
-    return functools.partial(_write_rows, path)
+class FileSink:
+    """Sink that stores each batch once in the logged table at ``path``, whatever is replayed."""
+
+    def __init__(self, path):
+        self.path = path
 
+    def __call__(self, rows, batch_id):
+        BatchLog(rows.sparkSession, self.path).write(rows.select(*PREDICTION_COLUMNS), batch_id)
 
-def _write_rows(path, rows, batch_id):
-    write_batch(rows.select(*PREDICTION_COLUMNS), path, batch_id)
+
+def file_sink(path):
+    return FileSink(path)
 
 
 def jdbc_sink(url, table, properties=None):
@@ -98,7 +104,9 @@ def process_batch(batch, batch_id, model, sink, alerts_path, rejected_path=None)
 
 def _store_scored(batch, batch_id, model, sink, alerts_path):
     scored = label_scores(score(model, batch)).withColumn("prediction", F.col("prediction").cast("int"))
-    rows = with_row_ids(scored, batch_id).withColumn("created_at", F.localtimestamp())
+    # ids rise with the numbers that batches claim, over all streams that write the same table
+    log = BatchLog(batch.sparkSession, getattr(sink, "path", f"{alerts_path}_ids"))
+    rows = with_row_ids(scored, log.claim(stream_identity(batch.sparkSession), batch_id)).withColumn("created_at", F.localtimestamp())
     rows = rows.select(*PREDICTION_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sink(rows, batch_id)

@@ -178,12 +178,30 @@ def test_rows_that_cannot_be_scored_are_set_aside(spark, model, tmp_path):
 
 
 def test_fresh_checkpoint_keeps_stored_rows(spark, model, tmp_path):
+    """Two checkpoints in turn and a replay: rows stay, ids rise, and the latest by id are the last stored."""
     source, table = tmp_path / "in", str(tmp_path / "table")
     write_messages(source, "a.txt", [reading("A", 0, 1), reading("B", 0, 1)])
-    for check in ("one", "two"):
-        sink = jobs.file_sink(table)
-        jobs.run_scoring_stream(stream(spark, source), model, sink, str(tmp_path / "alerts"), str(tmp_path / check), once=True).awaitTermination()
-    assert tables.read_predictions(spark, table).count() == 4
+    seen = []
+    for check, name, label in (("one", "b.txt", 1), ("two", "c.txt", 2), ("one", "d.txt", 0)):
+        job = jobs.run_scoring_stream(stream(spark, source), model, jobs.file_sink(table), str(tmp_path / "alerts"), str(tmp_path / check), once=True)
+        job.awaitTermination()
+        stored = {row.id for row in tables.read_predictions(spark, table).select("id").collect()}
+        fresh = stored - set(seen)
+        assert fresh and (not seen or min(fresh) > max(seen))
+        seen += sorted(fresh)
+        newest = boards.current(tables.read_predictions(spark, table), "2024-01-30 10:00:30")
+        assert {row.id for row in newest.collect()} <= fresh
+        write_messages(source, name, [reading("A", label, 2), reading("B", label, 2)])
+    assert len(seen) == 2 + 4 + 4
+
+    # the last batch of the first checkpoint once more, as after a lost driver
+    last = max((tmp_path / "check").parent.glob("one/commits/[0-9]*"), key=lambda path: int(path.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink()
+    job = jobs.run_scoring_stream(stream(spark, source), model, jobs.file_sink(table), str(tmp_path / "alerts"), str(tmp_path / "one"), once=True)
+    job.awaitTermination()
+    again = [row.id for row in tables.read_predictions(spark, table).select("id").collect()]
+    assert set(seen) <= set(again) and len(again) == len(set(again)) == len(seen) + 2
 
 
 def test_empty_batch_writes_nothing(spark, model, tmp_path):
