@@ -45,7 +45,7 @@ def read_predictions_jdbc(spark, url, table, properties=None, partition=None):
 def append_predictions_jdbc(frame, url, table, properties=None):
     """Append the stored columns. A replayed batch is appended again: JDBC has no batch commit.
 
-    Use ``write_batch`` where a batch must count once.
+    Use ``once.append_predictions_once`` or ``BatchLog.write`` where a batch must count once.
     """
     frame.select(*schemas.SCORED_COLUMNS).write.jdbc(url=url, table=table, mode="append", properties=properties or {})
 

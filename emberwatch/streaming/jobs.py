@@ -14,6 +14,7 @@ from emberwatch.operators.history import abnormal_only
 from emberwatch.operators.latest import latest_abnormal
 from emberwatch.schemas import PREDICTION_COLUMNS
 from emberwatch.sources.batches import BatchLog, stream_identity
+from emberwatch.sources.once import append_predictions_once
 from emberwatch.sources.tables import append_predictions_jdbc, with_row_ids, write_batch
 
 _MESSAGE_ORDER = ["severity_rank", "part"]
@@ -74,13 +75,26 @@ def file_sink(path):
 
 
 def jdbc_sink(url, table, properties=None):
-    """Sink that appends to a database table, which numbers and dates the rows itself."""
+    """Sink that appends to a database table, which numbers and dates the rows itself.
+
+    A replayed batch is appended again; ``DatabaseSink`` appends it once.
+    """
     def write(rows, batch_id):
         append_predictions_jdbc(rows, url, table, properties)
 
     return write
 
 
+class DatabaseSink:
+    """Sink that appends each batch to a database table once; see ``once.append_once``."""
+
+    def __init__(self, module, connect, table):
+        self.module, self.connect, self.table = module, connect, table
+
+    def __call__(self, rows, batch_id):
+        append_predictions_once(rows, self.module, self.connect, self.table, stream_identity(rows.sparkSession), batch_id)
+
+
 def process_batch(batch, batch_id, model, sink, alerts_path, rejected_path=None):
     """Score one micro-batch, store it, and write the alert messages it calls for.
 
