@@ -4,9 +4,10 @@ Bigrams are ordered from rare to frequent. A word's prefix are its three rarest
 pivots two of them that share no letter, with the least total frequency (dynamic programming
 over places). One edit spoils one of two disjoint bigrams at most. So if two words are one edit
 apart, a pivot of the one whose prefix ends earlier in the order stands in the other's prefix,
-at the same place or, where lengths differ, one further. Left or right of it, on the side
-without the edit, both words are equal; the key of the join holds that side as well, so few
-pairs come out that are no variants. Each pair is verified by its edit distance.
+at the same place or, where lengths differ, one further. The edit lies left or right of it, and
+there in the nearer or the farther half; all else is equal. The key of the join holds the bigram,
+its place and what is equal, so few pairs come out that are no variants. Each pair is verified by
+its edit distance.
 """
 
 import math
@@ -102,19 +103,43 @@ def prefix_and_pivots(word, ranks):
     return prefix, last, two[1:]
 
 
+def _equal_parts(word, at, size):
+    """What ``word`` has in common with one of ``size`` letters, one edit apart, that has the
+    bigram of place ``at`` too; one part for each place where the edit can lie.
+
+    ``at`` counts in the word of ``size`` letters. Its letters right of the bigram are halved,
+    and those left of it; ``word`` itself may have one letter more or less, on the side of the
+    edit. A part without letters for an edit is left out.
+    """
+    own = at + len(word) - size  # place of the bigram in word if the edit lies left of it
+    cut = at + 2 + (size - at - 2) // 2
+    if max(size, len(word)) > at + 2:
+        yield f"1{word[:cut]}"
+        if cut > at + 2:
+            yield f"2{word[: at + 2]}|{word[len(word) - (size - cut) :]}"
+    if max(at, own) > 0:
+        cut = at // 2
+        if cut:
+            yield f"3{word[len(word) - (size - cut) :]}"
+        yield f"4{word[:cut]}|{word[own:]}"
+
+
 def _keyed(words, ranks, probes):
     """Join keys of the words: of their prefixes, or with ``probes`` of their pivots."""
 
     def keys(word):
         prefix, last, pivots = prefix_and_pivots(word, ranks)
-        size = len(word)
         for at in pivots if probes else prefix:
-            left, right = word[: at + 2], word[at:]
             for longer in (-1, 0, 1) if probes else (0,):
-                if at + 2 < size or longer > 0:
-                    yield last, f"L{size + longer}:{at}:{left}"
-                if at > 0 or longer > 0:
-                    yield last, f"R{size + longer}:{at + longer}:{right}"
+                size = len(word) + longer
+                for shift in {0, longer}:
+                    # the edit is right of the bigram where it stands still, left where it moves
+                    place = at + shift
+                    if place < 0 or place + 2 > size:
+                        continue
+                    for part in _equal_parts(word, place, size):
+                        if longer == 0 or (part[0] in "12") == (shift == 0):
+                            yield last, f"{size}:{place}:{part}"
 
     def run(batches):
         for batch in batches:
