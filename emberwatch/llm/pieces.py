@@ -12,6 +12,7 @@ function; nothing is read from an executor's disk.
 """
 
 import codecs
+import math
 import re
 import struct
 from heapq import heapify, heappop, heappush
@@ -20,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 
 MODEL_BYTES = 64 << 20
-#: Words remembered by a task; beyond, it starts anew.
+#: Words that a task remembers; when it has met as many others since, the older ones go.
 REMEMBERED = 200_000
 #: Characters of a word up to which it is remembered and merged by scanning.
 SHORT = 48
 #: Bytes of text after which a task hands on what it has.
-SLICE = 1 << 22
+SLICE = 1 << 21
 SPACE = "▁"
 
 # Fixed values of the file format: kinds of pieces and the model type that is read here.
@@ -243,7 +244,8 @@ class PieceModel:
         self.reserved = {name: number for number, name in enumerate(self.names) if self.kinds[number] != NORMAL}
         self.pairs = {name[at : at + 2] for name in self.scores for at in range(len(name) - 1)}
         self.words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.remembered = {}
+        self.recent, self.earlier, self.packed = {}, {}, {}
+        self._tables()
         self.surfaces = [self._surface(number) for number in range(len(self.names))]
 
     # -- encoding
@@ -259,60 +261,142 @@ class PieceModel:
         text, alignment = mark_spaces(text, self.prefix, self.collapse)
         return text, [alignment, *alignments]
 
+    def _tables(self):
+        """Arrays for merging many words at once: ids of characters, sorted pairs of ids with
+        the piece that they make, ranks of pieces (the best score first) and their lengths."""
+        count = len(self.names)
+        plain = {name: number for name, number in self.ids.items() if name not in self.reserved}
+        self.symbols = np.full(0x110000, -1, np.int32)
+        for name, number in plain.items():
+            if len(name) == 1:
+                self.symbols[ord(name)] = number
+        made = [(plain[name[:at]] << 32 | plain[name[at:]], number) for name, number in plain.items() for at in range(1, len(name)) if name[:at] in plain and name[at:] in plain]
+        self.keys, self.made = (np.array(column, np.int64) for column in zip(*sorted(made), strict=True)) if made else (np.zeros(1, np.int64) - 1, np.zeros(1, np.int64))
+        scores = np.array([self.scores[name] for name in plain])
+        levels = np.unique(-scores)
+        self.ranks = np.full(count + 1, len(levels), np.int32)  # the last: a pair that makes nothing
+        self.ranks[list(plain.values())] = np.searchsorted(levels, -scores)
+        self.lengths = np.array([len(name.encode()) for name in self.names], "<u4")
+
     def encode(self, text):
         """Ids and the bytes of ``text`` each piece stands for, both as uint32."""
-        marked, alignments = self.normalise(text)
-        known = self.remembered
-        found = []
-        for word in self.words.findall(marked):
-            pieces = known.get(word)
-            found.append(self._pieces(word) if pieces is None else pieces)
-        ids = np.frombuffer(b"".join([pieces[0] for pieces in found]), "<u4")
-        places = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(np.frombuffer(b"".join([pieces[1] for pieces in found]), "<u4"), out=places[1:])
-        if found:
-            for alignment in alignments:
-                places = alignment.project(places)
-        return ids, np.stack([places[:-1], places[1:]], 1).astype("<u4")
-
-    def _pieces(self, word):
-        """Packed ids and lengths in bytes of the pieces of a word."""
-        merge = self._merge_short if len(word) <= SHORT else self._merge_long
-        ids, sizes = [], []
-        for piece in merge(word):
-            number = self.reserved.get(piece)
-            number = self.ids.get(piece) if number is None else number
-            if number is None or self.kinds[number] == UNKNOWN:
-                data = piece.encode()
-                ids += [self.bytes[byte] for byte in data]
-                sizes += [0] * (len(data) - 1) + [len(data)]  # the last byte stands for the character
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts):
+        """The same for each of some texts, whose new words are merged together."""
+        marked = [self.normalise(text) for text in texts]
+        words = [self.words.findall(text) for text, _ in marked]
+        found = self._found({word for own in words for word in own if len(word) <= SHORT})
+        for own, (_, alignments) in zip(words, marked, strict=True):
+            pieces = [found[word] if len(word) <= SHORT else self._joined(self._merge_long(word)) for word in own]
+            ids = np.frombuffer(b"".join([piece[0] for piece in pieces]), "<u4")
+            places = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(np.frombuffer(b"".join([piece[1] for piece in pieces]), "<u4"), out=places[1:])
+            if len(ids):
+                for alignment in alignments:
+                    places = alignment.project(places)
+            yield ids, np.stack([places[:-1], places[1:]], 1).astype("<u4")
+
+    def _found(self, words):
+        """Packed ids and lengths in bytes of the pieces of each word."""
+        found, new = {}, []
+        for word in words:
+            own = self.recent.get(word) or self.earlier.get(word)
+            if own is None:
+                new.append(word)
             else:
-                ids.append(number)
-                sizes.append(len(piece.encode()))
-        packed = np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes()
-        if len(word) <= SHORT:
-            if len(self.remembered) >= REMEMBERED:
-                self.remembered.clear()
-            self.remembered[word] = packed
-        return packed
+                found[word] = own
+        found.update(self._merge_many(new))
+        if len(self.recent) >= REMEMBERED:
+            self.earlier, self.recent = self.recent, {}
+        self.recent.update(found)
+        return found
+
+    def _merge_many(self, words):
+        """What ``_merge_short`` gives, for words side by side: those of one length form a
+        matrix, of which every step joins one pair in each row."""
+        sizes = np.array([len(word) for word in words], np.int64)
+        symbols = self.symbols[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        starts = np.cumsum(sizes) - sizes
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            matrix = symbols[starts[rows][:, None] + np.arange(size)]
+            known = (matrix >= 0).all(1)
+            for row in rows[~known].tolist():
+                yield words[row], self._joined(self._merge_short(words[row]))
+            for places, ids in self._merge_matrix(matrix[known], rows[known]):
+                width = 4 * ids.shape[1]
+                packed, lengths = ids.astype("<u4").tobytes(), self.lengths[ids].tobytes()
+                for at, row in enumerate(places.tolist()):
+                    yield words[row], (packed[at * width : at * width + width], lengths[at * width : at * width + width])
+
+    def _pair(self, left, right):
+        """The piece that two neighbours make, or the number of pieces if none."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.made[at], len(self.names))
+
+    def _merge_matrix(self, symbols, rows):
+        """Rows in which nothing is left to join, with their pieces."""
+        made = self._pair(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            if made.shape[1] == 0:
+                yield rows, symbols
+                return
+            ranks = self.ranks[made]
+            at = ranks.argmin(1)  # the first of equals
+            line = np.arange(len(rows))
+            open_ones = ranks[line, at] < self.ranks[-1]
+            if not open_ones.all():
+                yield rows[~open_ones], symbols[~open_ones]
+                rows, symbols, made, at = rows[open_ones], symbols[open_ones], made[open_ones], at[open_ones]
+                line = line[: len(rows)]
+            behind = np.arange(symbols.shape[1] - 1) > at[:, None]
+            joined = made[line, at]
+            symbols = np.where(behind, symbols[:, 1:], symbols[:, :-1])
+            symbols[line, at] = joined
+            made = np.where(behind[:, :-1], made[:, 1:], made[:, :-1])
+            inner = np.flatnonzero(at < made.shape[1])
+            made[inner, at[inner]] = self._pair(joined[inner], symbols[inner, at[inner] + 1])
+            inner = np.flatnonzero(at > 0)
+            made[inner, at[inner] - 1] = self._pair(symbols[inner, at[inner] - 1], joined[inner])
+
+    def _joined(self, pieces):
+        packed, missing = [], self.packed
+        for piece in pieces:
+            own = missing.get(piece)
+            packed.append(self._packed(piece) if own is None else own)
+        return b"".join([own[0] for own in packed]), b"".join([own[1] for own in packed])
+
+    def _packed(self, piece):
+        """Packed id and length of a piece, or of the bytes of a character that is none; the
+        last byte then stands for the character. Remembered: pieces and characters are few."""
+        number = self.reserved.get(piece, self.ids.get(piece))
+        size = len(piece.encode())
+        if number is None or self.kinds[number] == UNKNOWN:
+            ids, sizes = [self.bytes[byte] for byte in piece.encode()], [0] * (size - 1) + [size]
+        else:
+            ids, sizes = [number], [size]
+        self.packed[piece] = np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes()
+        return self.packed[piece]
 
     def _merge_short(self, word):
         """Joins the neighbours of the best score, the first of equals, until none is a piece."""
-        parts, scores = list(word), self.scores
-        gains = [scores.get(word[at : at + 2]) for at in range(len(word) - 1)]
-        while True:
-            best, at = None, -1
-            for place, gain in enumerate(gains):
-                if gain is not None and (best is None or gain > best):
-                    best, at = gain, place
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, score, none = list(word), self.scores.get, -math.inf
+        gains = [score(word[at : at + 2], none) for at in range(len(word) - 1)]
+        while gains:
+            best = max(gains)
+            if best == none:
+                break
+            at = gains.index(best)
+            joined = parts[at] + parts.pop(at + 1)
+            parts[at] = joined
             del gains[at]
             if at < len(gains):
-                gains[at] = scores.get(parts[at] + parts[at + 1])
+                gains[at] = score(joined + parts[at + 1], none)
             if at:
-                gains[at - 1] = scores.get(parts[at - 1] + parts[at])
+                gains[at - 1] = score(parts[at - 1] + joined, none)
+        return parts
 
     def _merge_long(self, word):
         """The same with a heap, part by part: no merge reaches over a pair in no piece."""
@@ -448,9 +532,8 @@ def encode(docs, model, text="text", ends=True, keep_text=True):
     def run(column):
         pieces = _model(model)
         ids, spans = [], []
-        for value in column:
-            written = value.as_py() or ""
-            own, places = pieces.encode(written)
+        texts = [value or "" for value in column.to_pylist()]
+        for written, (own, places) in zip(texts, pieces.encode_all(texts), strict=True):
             if ends:
                 size = len(written.encode())
                 own = np.concatenate([[pieces.begin], own, [pieces.end]]).astype("<u4")
