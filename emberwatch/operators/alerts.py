@@ -13,7 +13,8 @@ from emberwatch import constants as K
 from emberwatch.functions import display
 from emberwatch.functions.labels import resolve_status
 from emberwatch.operators import parts
-from emberwatch.operators.parts import pack_fragments, trace_lengths, walk_shards
+from emberwatch.operators.parts import compose_shards, enter_shards, pack_fragments, trace_lengths
+from emberwatch.sources.shared import new_folder
 
 # Sent along with the tasks, so that executors do not need this package installed.
 cloudpickle.register_pickle_by_value(parts)
@@ -22,6 +23,10 @@ cloudpickle.register_pickle_by_value(parts)
 _HASH_DIGITS = 3
 # Sensors whose blocks are packed by one task; about 15 MB of text.
 SHARD_SENSORS = 50_000
+# Shards whose results one task composes: at most one run for each length a part may have.
+FAN = 8
+_RUNS = "severity_rank int, shard bigint, entry int, leaves int, closed bigint"
+_STARTS = "severity_rank int, shard bigint, entry int, part bigint, parts bigint"
 
 _MEASURES = ["temperature", "smoke_ppm", "lpg_gas_ppm", "co_gas_ppm"]
 _SEVERITY = {2: K.FIRE, 1: K.FIRE_RISK}
@@ -119,14 +124,16 @@ def alert_message(indexed):
     return written.select("severity_rank", "severity", "sensors", F.inline(blocks))
 
 
-def alert_message_parts(message, max_length=K.MESSAGE_LIMIT - K.MESSAGE_RESERVE, shard_sensors=SHARD_SENSORS):
+def alert_message_parts(message, max_length=K.MESSAGE_LIMIT - K.MESSAGE_RESERVE, shard_sensors=SHARD_SENSORS, fan=FAN):
     """The messages cut into parts of at most ``max_length`` characters, as they are sent.
 
     Lines are packed greedily, and where a part ends depends on all lines before. That is
     solved exactly in three steps: every shard of blocks works out, for each length the
-    open part may have when the shard begins, how it ends; one short walk per severity
-    over these results finds the length each shard really begins with; then all shards
-    pack their lines. Only parts that cross a shard border are put together afterwards.
+    open part may have when the shard begins, how it ends; these results are composed up a
+    tree of ``fan`` shards a node, and the lengths that the shards really begin with are handed
+    down again; then all shards pack their lines. Only parts that cross a shard border are put
+    together afterwards. No task holds the results of more than ``fan`` shards. The results of
+    the first step are stored in the shared folder.
     """
     limit = max(K.MESSAGE_MINIMUM, int(max_length))
     last = F.col("block") == F.col("sensors")
@@ -137,13 +144,8 @@ def alert_message_parts(message, max_length=K.MESSAGE_LIMIT - K.MESSAGE_RESERVE,
         F.floor(F.greatest(F.col("block") - 1, F.lit(0)) / shard_sensors).cast("bigint").alias("shard"),
     )
     sharded = blocks.groupBy("severity_rank", "shard")
-    traced = sharded.applyInPandas(
-        lambda key, rows: trace_lengths(key, rows, limit),
-        "severity_rank int, shard bigint, entry int, leaves int, closed bigint",
-    )
-    starts = traced.groupBy("severity_rank").applyInPandas(
-        walk_shards, "severity_rank int, shard bigint, entry int, part bigint, parts bigint"
-    )
+    traced = sharded.applyInPandas(lambda key, rows: trace_lengths(key, rows, limit), _RUNS)
+    starts = _shard_starts(traced, fan)
     fragments = sharded.cogroup(starts.groupBy("severity_rank", "shard")).applyInPandas(
         lambda key, rows, start: pack_fragments(key, rows, start, limit),
         "severity_rank int, part bigint, parts bigint, shard bigint, text string",
@@ -163,6 +165,29 @@ def alert_message_parts(message, max_length=K.MESSAGE_LIMIT - K.MESSAGE_RESERVE,
     )
 
 
+def _shard_starts(traced, fan):
+    """How each shard begins, from the runs of all: up the tree level by level, and down again."""
+    path = new_folder(traced.sparkSession, "alert-runs")
+    traced.write.parquet(path)
+    level = traced.sparkSession.read.schema(_RUNS).parquet(path)
+    shards = (level.agg(F.max("shard")).first()[0] or 0) + 1
+    levels = [level]
+    while shards > fan:
+        shards = -(-shards // fan)
+        level = level.groupBy("severity_rank", F.floor(F.col("shard") / fan).alias("node")).applyInPandas(compose_shards, _RUNS)
+        levels.append(level)
+    starts = None
+    for level in reversed(levels):
+        node = F.floor(F.col("shard") / fan).alias("node")
+        grouped = level.groupBy("severity_rank", node)
+        if starts is None:
+            starts = grouped.applyInPandas(lambda key, runs: enter_shards(key, runs, runs.iloc[:0]), _STARTS)
+        else:
+            above = starts.groupBy("severity_rank", F.col("shard").alias("node"))
+            starts = grouped.cogroup(above).applyInPandas(enter_shards, _STARTS)
+    return starts
+
+
 def _split_prefix():
     before, rest = K.PART_PREFIX.split("{n}")
     between, after = rest.split("{total}")

@@ -66,15 +66,41 @@ def trace_lengths(key, rows, limit):
     )
 
 
-def walk_shards(key, runs):
-    """How each shard of one severity begins, and how many parts there are in the end."""
-    length, part, found = 0, 1, []
-    for shard, rows in runs.sort_values(["shard", "entry"]).groupby("shard"):
+def _run_at(runs, lengths):
+    """For each entry length the run that it belongs to."""
+    return runs.iloc[np.searchsorted(runs["entry"].to_numpy(), lengths, side="right") - 1]
+
+
+def compose_shards(key, runs):
+    """The runs of several neighbouring shards taken as one.
+
+    All lengths of a run of the first shard leave the same length, so it has one run at most
+    for each of them, however many shards follow.
+    """
+    rank, node = key
+    whole = None
+    for _, own in runs.sort_values(["shard", "entry"]).groupby("shard"):
+        if whole is None:
+            whole = own[["entry", "leaves", "closed"]].reset_index(drop=True)
+            continue
+        onward = _run_at(own, whole["leaves"].to_numpy())
+        whole = whole.assign(leaves=onward["leaves"].to_numpy(), closed=whole["closed"].to_numpy() + onward["closed"].to_numpy())
+    new = (whole["leaves"].diff() != 0) | (whole["closed"].diff() != 0)
+    return whole[new].assign(severity_rank=rank, shard=node)[["severity_rank", "shard", "entry", "leaves", "closed"]]
+
+
+def enter_shards(key, runs, start):
+    """With which length and part each of several neighbouring shards begins, from how the first
+    of them does. ``start`` is empty above the first shard of all."""
+    length, part = (int(start[name].iloc[0]) for name in ("entry", "part")) if len(start) else (0, 1)
+    found = []
+    for shard, own in runs.sort_values(["shard", "entry"]).groupby("shard"):
         found.append((key[0], shard, length, part))
-        run = rows.iloc[np.searchsorted(rows["entry"].to_numpy(), length, side="right") - 1]
+        run = _run_at(own, [length]).iloc[0]
         length, part = int(run["leaves"]), part + int(run["closed"])
     table = pd.DataFrame(found, columns=["severity_rank", "shard", "entry", "part"])
-    return table.assign(parts=part if length else part - 1)
+    parts = int(start["parts"].iloc[0]) if len(start) else part if length else part - 1
+    return table.assign(parts=parts)
 
 
 def pack_fragments(key, rows, start, limit):

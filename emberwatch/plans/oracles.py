@@ -486,3 +486,33 @@ ORACLES |= {
     "stored_history_by_time": _with("SELECT id, sensor, record_time FROM records ORDER BY order_time DESC, number DESC LIMIT 500", "records"),
     "rising_ids": "SELECT count(*) AS rows, count(*) AS ids, TRUE AS rising FROM events",
 }
+
+
+def _parts_sql():
+    """Lines of the messages packed one by one; ``size`` is the length of the open part, 0 if none is."""
+    limit = max(K.MESSAGE_MINIMUM, K.MESSAGE_LIMIT - K.MESSAGE_RESERVE)
+    prefix = K.PART_PREFIX.replace("\n", "' || chr(10) || '").replace("{n}", "' || part || '").replace("{total}", "' || parts || '")
+    return f"""WITH RECURSIVE message AS ({ORACLES["alert_message"]}), blocks AS (
+             SELECT severity_rank, severity, block, CASE WHEN block = sensors THEN rtrim(text, chr(10)) ELSE text END AS text FROM message
+           ), split AS (
+             SELECT severity_rank, severity, block, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM blocks
+           ), lines AS MATERIALIZED (
+             SELECT severity_rank, severity, line, length(line) AS own, row_number() OVER (PARTITION BY severity_rank ORDER BY block, place) AS number FROM split
+           ), packed AS (
+             SELECT severity_rank, number, own AS size, 1 AS part, own > 0 AS held FROM lines WHERE number = 1
+             UNION ALL
+             SELECT l.severity_rank, l.number,
+                    CASE WHEN p.size > 0 AND p.size + 1 + l.own <= {limit} THEN p.size + 1 + l.own ELSE l.own END,
+                    CASE WHEN p.size > 0 AND p.size + 1 + l.own > {limit} THEN p.part + 1 ELSE p.part END,
+                    p.size > 0 AND p.size + 1 + l.own <= {limit} OR l.own > 0
+             FROM packed p JOIN lines l ON l.severity_rank = p.severity_rank AND l.number = p.number + 1
+           ), bodies AS (
+             SELECT severity_rank, severity, CAST(part AS BIGINT) AS part, string_agg(line, chr(10) ORDER BY number) AS body
+             FROM packed JOIN lines USING (severity_rank, number) WHERE held GROUP BY ALL
+           ), counted AS (
+             SELECT *, count(*) OVER (PARTITION BY severity_rank) AS parts FROM bodies
+           )
+           SELECT severity_rank, severity, part, parts, CASE WHEN parts > 1 THEN '{prefix}' ELSE '' END || body AS text FROM counted"""
+
+
+ORACLES["alert_message_parts"] = _parts_sql()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from emberwatch.operators import alerts
 from emberwatch.sources import events
 
-ROW = ("TEST_1", "Phong_May", "2026-10-17 11:00:00", 85.5, 750.0, 900.0, None, 2, "FIRE", 0.99, 0.01)
+ROW = ("unit-7", "Phong_May", "2024-02-03 04:05:06", 71.25, 512.0, 640.0, None, 2, "FIRE", 0.875, 0.125)
 SCHEMA = (
     "sensor_id string, zone string, timestamp string, temperature double, smoke_ppm double, lpg_gas_ppm double,"
     " co_gas_ppm double, prediction int, prediction_label string, probability_fire double, probability_risk double"
@@ -27,8 +27,8 @@ def test_one_sensor(spark):
         [
             "🚨🚨🚨 CẢNH BÁO CHÁY KHẨN CẤP 🚨🚨🚨", "", "Phát hiện 1 sensor có trạng thái FIRE.",
             "Hãy kiểm tra và xử lý theo quy trình an toàn của nhà máy.", "", "🔴 SENSOR FIRE #1",
-            "Sensor: TEST_1", "Khu vực: Phong_May", "Thời gian: 2026-10-17 11:00:00", "Nhiệt độ: 85.5 °C", "Khói: 750 ppm",
-            "LPG: 900 ppm", "CO: N/A", "Trạng thái: FIRE", "Xác suất FIRE: 99.0%", "Xác suất FIRE_RISK: 1.0%",
+            "Sensor: unit-7", "Khu vực: Phong_May", "Thời gian: 2024-02-03 04:05:06", "Nhiệt độ: 71.25 °C", "Khói: 512 ppm",
+            "LPG: 640 ppm", "CO: N/A", "Trạng thái: FIRE", "Xác suất FIRE: 87.5%", "Xác suất FIRE_RISK: 12.5%",
         ]
     )
 
@@ -56,8 +56,8 @@ def blocks(spark, texts):
     return spark.createDataFrame(rows, "severity_rank int, severity string, sensors bigint, block bigint, text string")
 
 
-def packed(spark, texts, limit, shard):
-    rows = alerts.alert_message_parts(blocks(spark, texts), limit, shard).orderBy("part").collect()
+def packed(spark, texts, limit, shard, fan=8):
+    rows = alerts.alert_message_parts(blocks(spark, texts), limit, shard, fan).orderBy("part").collect()
     assert [row.part for row in rows] == list(range(1, len(rows) + 1))
     assert {row.parts for row in rows} == {len(rows)}
     if len(rows) == 1:
@@ -92,8 +92,8 @@ def test_packing_is_greedy_and_the_same_for_any_shard_size(spark):
         lines = "\n".join(texts).rstrip("\n").split("\n")
         whole = packed(spark, texts, limit, 10_000)
         check_greedy(whole, lines, limit)
-        for shard in (1, 7, 40):
-            assert packed(spark, texts, limit, shard) == whole
+        for shard, fan in ((1, 3), (7, 2), (40, 8)):
+            assert packed(spark, texts, limit, shard, fan) == whole
 
 
 def test_long_lines_are_cut_and_short_limits_raised(spark):
