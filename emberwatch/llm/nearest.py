@@ -42,15 +42,24 @@ class Settings:
 
 def usable(frame, vec_id="vec_id", vector="embedding"):
     """(vec_id, vector) as doubles, without vectors that have no direction: null, zero, or
-    with null or non-finite parts. Only the commonest length takes part, of ties the longest."""
+    with null or non-finite parts. Shorter vectors are filled up with zeros, which leaves every
+    cosine as it is."""
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = frame.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(finite & F.exists("vector", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
-    return rows.filter(F.size("vector") == sizes[0]["size"]) if sizes else rows, sizes[0]["size"] if sizes else 0
+    size = rows.agg(F.max(F.size("vector"))).first()[0] or 0
+    filled = F.concat("vector", F.array_repeat(F.lit(0.0), F.lit(size) - F.size("vector")))
+    return rows.withColumn("vector", F.when(F.size("vector") < size, filled).otherwise(F.col("vector"))), size
+
+
+def _scaled(vectors):
+    """Each vector times a power of two, its largest part between a half and one: squares of very
+    large or small parts stay in range, and the cosine is the same to the last bit."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
 
 
 def _unit(vectors):
+    vectors = _scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -152,11 +161,11 @@ def _search(model, settings):
     def blocks(rows, queries):
         if not len(rows) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        vectors = np.stack(rows["vector"].to_numpy())
+        vectors = _scaled(np.stack(rows["vector"].to_numpy()))
         ids = rows["vec_id"].to_numpy()
         norms = np.linalg.norm(vectors, axis=1)
         index = BlockIndex(encode(_unit(vectors), model, settings), settings.substring)
-        targets = np.stack(queries["vector"].to_numpy())
+        targets = _scaled(np.stack(queries["vector"].to_numpy()))
         codes = encode(_unit(targets), model, settings)
         parts = []
         for number, (query, radius) in enumerate(zip(queries["vec_id"], queries["radius"])):
