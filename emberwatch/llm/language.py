@@ -33,11 +33,43 @@ class Settings:
     weight: float = 5.0
 
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|nav)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+_BLOCK = re.compile(r"<(script|style|nav)\b", re.I)
+_CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "nav")}
 #: A tag that begins inside another is looked at from its own start only, so no page is read twice.
 _DECLARED = r"(?i)<html\b(?:(?!<html\b)[^>])*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})"
 
 
+def text_of(html):
+    """The page with a space for each comment, script, style, navigation block and tag.
+
+    One pass: an end that was looked for in vain is not looked for again, so a page of openings
+    without ends takes no longer than any other. What begins like a comment or block but does not
+    end is a tag; what begins like a tag but does not end is text.
+    """
+    parts, at, lacking = [], 0, set()
+    while True:
+        start = html.find("<", at)
+        close = html.find(">", start + 1) if start >= 0 else -1
+        if close < 0:
+            parts.append(html[at:])
+            return "".join(parts)
+        end = close + 1
+        if html.startswith("<!--", start) and "comment" not in lacking:
+            found = html.find("-->", start + 4)
+            if found >= 0:
+                end = found + 3
+            else:
+                lacking.add("comment")
+        elif (block := _BLOCK.match(html, start)) and (name := block[1].lower()) not in lacking:
+            found = _CLOSING[name].search(html, block.end()) if name in _CLOSING else None
+            if found:
+                end = found.end()
+            else:
+                lacking.add(name)
+        parts += [html[at:start], " "]
+        at = end
+
+
 def _trigrams(column, bits):
     """For slices of rows: first row, count, (row, hashed trigram) of letters in lower case."""
     data, offsets = hashing.column_bytes(column)
@@ -90,7 +122,7 @@ def _read_pages(broadcast, settings):
     def rows(batches):
         languages, logs = broadcast.value
         for batch in batches:
-            texts = [_DROPPED.sub(" ", html) if html else "" for html in batch.column("html").to_pylist()]
+            texts = [text_of(html) if html else "" for html in batch.column("html").to_pylist()]
             scores = np.zeros((len(texts), len(languages)))
             read = np.zeros(len(texts), bool)
             for first, count, row, terms in _trigrams(pa.array(texts, pa.string()), settings.hash_bits):

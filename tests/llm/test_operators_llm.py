@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -221,6 +222,17 @@ def test_nearest_recall_and_awkward_vectors(spark, small):
     assert nearest.nearest(few.limit(0)).count() == 0
 
 
+def test_nearest_with_extreme_and_short_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 2e-200]), (2, [5e-324, 0.0]), (3, [-1.7e308, 1.7e308]), (4, [3.0]), (50, [0.0, 7.0])]
+    got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    angle = {0: (1, 1), 1: (1, 2), 2: (1, 0), 3: (-1, 1), 4: (1, 0), 50: (0, 1)}
+    unit = {number: np.array(way) / np.linalg.norm(way) for number, way in angle.items()}
+    for query in (0, 50):
+        own = sorted((row for row in got if row.query_id == query), key=lambda row: row.rank)
+        assert {row.vec_id for row in own} == set(unit) - {query} and [-row.score for row in own] == sorted(-row.score for row in own)
+        assert all(abs(row.score - unit[query] @ unit[row.vec_id]) < 1e-12 for row in own)
+
+
 def test_chat_rows(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "a b", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, 0, None, "x"), (None, None, "", "y"), (3, 0, "system", "z")]
     got = chat.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
@@ -236,6 +248,19 @@ def test_chat_rows(spark):
                 assert whole[row.learn_start : row.learn_end] + "\n" == row.piece.split("\n", 1)[1]
 
 
+def test_text_of_pages_in_one_pass():
+    plain = re.compile(r"<!--.*?-->|<(script|style|nav)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+    rng = np.random.default_rng(6)
+    signs = ["<", ">", "<!--", "-->", "<script>", "</script >", "<STYLE a='>'>", "</style>", "<nav", "</nav>", "x", " y ", "<p>", "</scripts>", "<br/"]
+    for _ in range(3000):
+        html = "".join(rng.choice(signs, size=rng.integers(0, 14)))
+        assert language.text_of(html) == plain.sub(" ", html), html
+    began = time.perf_counter()
+    for sign in ("<", "<!--", "<script>", "<nav", "</style ", "<style>x</style"):
+        language.text_of(sign * (1_000_000 // len(sign)))
+    assert time.perf_counter() - began < 12  # 1 MB each
+
+
 def test_language_evidence(spark):
     docs = spark.createDataFrame([("the cat and the dog with that thing", "en"), ("der hund und die katze mit dem ding", "de"), (None, "fr"), ("x", None)], "text string, lang string")
     pages = [(1, "http://a.example.de/x", "<html lang=de><p>und die katze mit dem hund</p>"), (2, "http://b.example.com", "<p>and the dog with that cat</p>")]
