@@ -244,8 +244,7 @@ class PieceModel:
         self.reserved = {name: number for number, name in enumerate(self.names) if self.kinds[number] != NORMAL}
         self.pairs = {name[at : at + 2] for name in self.scores for at in range(len(name) - 1)}
         self.words = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.recent, self.earlier, self.packed = {}, {}, {}
-        self._tables()
+        self.recent, self.earlier, self.packed, self.symbols = {}, {}, {}, None
         self.surfaces = [self._surface(number) for number in range(len(self.names))]
 
     # -- encoding
@@ -315,6 +314,8 @@ class PieceModel:
     def _merge_many(self, words):
         """What ``_merge_short`` gives, for words side by side: those of one length form a
         matrix, of which every step joins one pair in each row."""
+        if self.symbols is None:
+            self._tables()
         sizes = np.array([len(word) for word in words], np.int64)
         symbols = self.symbols[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
         starts = np.cumsum(sizes) - sizes
@@ -517,13 +518,14 @@ def _mapped(rows, column, added, drop, function):
     return narrow.mapInArrow(run, schema)
 
 
-def encode(docs, model, text="text", ends=True, keep_text=True):
+def encode(docs, model, text="text", ends=True, keep_text=True, read_back=False):
     """Adds ``ids`` and ``spans`` to every row of ``docs``, for the bytes ``model`` of a file.
 
     ``ids`` holds the piece ids as little-endian uint32, ``spans`` for each of them the first
     byte and the byte behind the last in the UTF-8 text, as two of these. ``unpacked`` gives
     arrays. With ``ends``, the ids of begin and end stand around, with empty spans. A null text
-    is an empty one and has no other ids. Columns named ids or spans are replaced. An empty
+    is an empty one and has no other ids. With ``read_back``, ``decoded`` is what ``decode`` makes
+    of the ids, in the same tasks. Columns of the added names are replaced. An empty
     table gives no rows; repeated rows are encoded one by one; texts of any length are encoded
     whole. A word without spaces and of n characters takes n log n steps.
     """
@@ -531,7 +533,7 @@ def encode(docs, model, text="text", ends=True, keep_text=True):
 
     def run(column):
         pieces = _model(model)
-        ids, spans = [], []
+        ids, spans, decoded = [], [], []
         texts = [value or "" for value in column.to_pylist()]
         for written, (own, places) in zip(texts, pieces.encode_all(texts), strict=True):
             if ends:
@@ -540,9 +542,13 @@ def encode(docs, model, text="text", ends=True, keep_text=True):
                 places = np.concatenate([[[0, 0]], places, [[size, size]]]).astype("<u4")
             ids.append(own.tobytes())
             spans.append(places.tobytes())
-        return pa.array(ids, pa.binary()), pa.array(spans, pa.binary())
+            if read_back:
+                decoded.append(pieces.decode(own))
+        made = [pa.array(ids, pa.binary()), pa.array(spans, pa.binary())]
+        return [*made, pa.array(decoded, pa.string())] if read_back else made
 
-    return _mapped(docs, text, [("ids", "binary"), ("spans", "binary")], not keep_text, run)
+    added = [("ids", "binary"), ("spans", "binary"), *([("decoded", "string")] if read_back else [])]
+    return _mapped(docs, text, added, not keep_text, run)
 
 
 def decode(rows, model, ids="ids", keep_ids=True):

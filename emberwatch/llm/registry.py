@@ -68,11 +68,10 @@ def op10_sharding(spark, folder):
 def op11_pieces(spark, folder):
     model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = pieces.encode(docs, model, keep_text=False)
+    coded = pieces.encode(docs, model, keep_text=False, read_back=True)
     size = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    digests = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("spans", 256).alias("spans_sha256")]
-    read = pieces.decode(coded.select("doc_id", size, *digests, "ids"), model, keep_ids=False)
-    return read.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "spans_sha256")
+    digest = {name: F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256") for name in ("ids", "decoded", "spans")}
+    return coded.select("doc_id", size, *digest.values())
 
 
 def op12_variants(spark, folder):

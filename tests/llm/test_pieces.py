@@ -96,6 +96,8 @@ def test_awkward_rows(spark):
     assert read.columns == ["doc_id", "text", "ids", "spans", "decoded"]
     got = read.collect()
     assert len(got) == 5
+    same = pieces.encode(docs, MODEL, read_back=True)
+    assert same.columns == read.columns and sorted(map(str, same.collect())) == sorted(map(str, got))
     for row in got:
         wanted = library.encode(row.text or "", add_bos=True, add_eos=True)
         assert pieces.unpacked(row.ids) == wanted and row.decoded == library.decode(wanted) == (row.text or "")
