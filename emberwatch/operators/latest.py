@@ -23,14 +23,16 @@ def _newest(frame, keys, column):
 
     A narrow aggregate finds the values, and a semi-join keeps their rows, so that wide rows
     are neither sorted nor shuffled before they are few, however long a key has been silent.
-    The number of keys is counted first: beyond ``BROADCAST_KEYS`` all rows stay, as ranking
-    them moves fewer than a join would.
+    The aggregate runs once, while the query is built: up to ``BROADCAST_KEYS`` of its rows are
+    fetched and broadcast. Beyond, all rows stay, as ranking them moves fewer than a join would.
     """
     places = {name: f"newest_{place}" for place, name in enumerate([*keys, column])}
     newest = frame.groupBy(*keys).agg(F.max(column).alias(places[column]))
     newest = newest.withColumnsRenamed({name: places[name] for name in keys})
-    if newest.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS:
+    found = newest.limit(BROADCAST_KEYS + 1).toArrow()
+    if found.num_rows > BROADCAST_KEYS:
         return frame
+    newest = frame.sparkSession.createDataFrame(found, newest.schema)
     same = [frame[name].eqNullSafe(newest[place]) for name, place in places.items()]
     return frame.join(F.broadcast(newest), reduce(and_, same), "left_semi")
 

@@ -65,9 +65,23 @@ def test_leaderboard_and_choice(spark, labelled, tmp_path):
     assert min(row.accuracy for row in found.values()) > 0.9
     assert found["LR1"].settings == {"iterations": "50", "regularisation": "0.1", "elastic": "0.0"}
     assert training.pick_model(board).count() == 1
+    models = {name: training.load_model(str(tmp_path / "models" / name.lower())) for name in ("DT1", "RF1")}
+    cells = training.confusion_of_all(models, rows[1])
+    for name, model in models.items():
+        own = cells.filter(F.col("model") == name).drop("model").orderBy("label", "prediction")
+        assert own.collect() == training.evaluate(model, rows[1]).collect()
     assert (tmp_path / "models" / "rf1").is_dir()
 
 
+def test_fits_side_by_side_are_those_alone(labelled):
+    rows = training.training_rows(labelled)
+    fitted = training.fit_all(["DT1", "DT2", "LR1"], rows, at_once=3)
+    assert list(fitted) == ["DT1", "DT2", "LR1"]
+    for name, (model, seconds) in fitted.items():
+        alone = training.train(name, rows)
+        assert seconds > 0 and training.evaluate(model, rows).collect() == training.evaluate(alone, rows).collect()
+
+
 @pytest.mark.slow
 def test_all_twelve(spark, labelled):
     rows = training.training_rows(labelled)
