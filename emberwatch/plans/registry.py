@@ -12,6 +12,8 @@ from emberwatch.operators import alerts, clean, explore, freshness, history, lat
 from emberwatch.plans import boards, stored
 from emberwatch.schemas import PREDICTION_COLUMNS, PROBABILITIES
 from emberwatch.sources import events, readings
+from emberwatch.sources.shared import new_folder
+from emberwatch.streaming.outbox import Outbox
 
 # Readings of the given tables lie minutes apart, so the usual 120 seconds would leave
 # nearly every sensor stale.
@@ -397,6 +399,18 @@ def alert_message_parts(spark, folder):
     return alerts.alert_message_parts(alert_message(spark, folder))
 
 
+def alert_outbox(spark, folder):
+    """What is pending after a replay of the batch and after the first message is sent."""
+    outbox = Outbox(spark, new_folder(spark, "outbox"))
+    for _ in range(2):
+        outbox.put(alert_message_parts(spark, folder), 0, "plant")
+    first = outbox.pending().agg(F.min("send_order").alias("first")).first()["first"]
+    if first is not None:
+        outbox.mark_sent(first)
+    place = (c("send_order") - F.lit(first)).alias("place")
+    return outbox.pending().select(place, "severity_rank", "part", "text")
+
+
 # --- models
 
 
@@ -584,6 +598,7 @@ QUERIES = {
     "alert_header": alert_header,
     "alert_message": alert_message,
     "alert_message_parts": alert_message_parts,
+    "alert_outbox": alert_outbox,
     # models
     "split_train_test": split_train_test,
     "train_random_forest": _trained("RF1"),

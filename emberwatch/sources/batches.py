@@ -11,6 +11,7 @@ writers never share one and readers see whole entries only. It says
   files and adds others in one entry, is seen as a whole or not at all.
 * ``latest``: a snapshot of the latest rows of a stated meaning, and up to which entry it goes.
 * ``gone``: which of the removed files are deleted.
+* ``mark``: how far a reader has come.
 * ``done``: which batch is stored.
 
 A fold repeats in one table all that still counts, so that readers need not go further back.
@@ -130,7 +131,8 @@ class BatchLog:
         claims = actions.filter("kind = 'claim'").join(done.select("stream", "batch"), ["stream", "batch"], "left_anti")
         newest = Window.partitionBy("name").orderBy(F.desc("entry"))
         snapshots = actions.filter("kind = 'latest'").withColumn("place", F.row_number().over(newest)).filter("place = 1").drop("place")
-        whole = _live(actions).unionByName(snapshots, True).unionByName(claims, True).unionByName(done, True).unionByName(_replaced(actions), True)
+        marks = actions.filter("kind = 'mark'").groupBy("kind", "name").agg(F.max("upto").alias("upto"), F.max("entry").alias("entry"))
+        whole = _live(actions).unionByName(marks, True).unionByName(snapshots, True).unionByName(claims, True).unionByName(done, True).unionByName(_replaced(actions), True)
         waiting = f"{self.folder}/waiting-{uuid.uuid4().hex}"
         whole.select(*_COLUMNS, "entry").write.parquet(waiting)
         if not rename_once(self.spark, waiting, f"{self.folder}/fold-{last:012d}"):
@@ -161,6 +163,16 @@ class BatchLog:
         same = (F.col("kind") == "done") & (F.col("stream") == stream) & (F.col("batch") == batch_id)
         return not actions.filter(same).isEmpty()
 
+    def mark(self, name, upto):
+        """Note how far a reader has come, for instance with sending; a mark never goes back."""
+        self._append(self._one(kind="mark", name=name, upto=upto))
+
+    def marked(self, name):
+        """How far that reader has come; -1 before its first mark."""
+        actions, _ = self.actions()
+        upto = actions.filter((F.col("kind") == "mark") & (F.col("name") == name)).agg(F.max("upto")).first()[0]
+        return -1 if upto is None else upto
+
     # -- writing
 
     def write(self, frame, batch_id, stream=None, zones=zones_of):
@@ -267,6 +279,8 @@ class BatchLog:
             files = files.filter(F.col(f"high_{by}") >= F.lit(low))
         if high is not None:
             files = files.filter(F.col(f"low_{by}") <= F.lit(high))
+        if files.isEmpty():
+            return self.read().limit(0)
         return self.read(files)
 
     # -- latest rows

@@ -16,8 +16,7 @@ from emberwatch.schemas import PREDICTION_COLUMNS
 from emberwatch.sources.batches import BatchLog, stream_identity
 from emberwatch.sources.once import append_predictions_once
 from emberwatch.sources.tables import append_predictions_jdbc, with_row_ids, write_batch
-
-_MESSAGE_ORDER = ["severity_rank", "part"]
+from emberwatch.streaming.outbox import Outbox
 
 
 def _trigger(writer, every=None, once=False):
@@ -48,14 +47,14 @@ def write_console_stream(scored, checkpoint, fmt="console", name=None, every=Non
 
 
 def write_alerts(abnormal, alerts_path, batch_id):
-    """Alert messages of the abnormal rows of one batch, in the order they are to be sent.
+    """Put the alert messages of the abnormal rows of one batch into the outbox at ``alerts_path``.
 
     Numbering and packing go over the newest rows several times, so these are kept meanwhile.
     """
     newest = latest_abnormal(abnormal).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         message = alerts.alert_message(alerts.alert_index(alerts.alert_groups(newest)))
-        write_batch(alerts.alert_message_parts(message).sortWithinPartitions(*_MESSAGE_ORDER), alerts_path, batch_id)
+        Outbox(abnormal.sparkSession, alerts_path).put(alerts.alert_message_parts(message), batch_id)
     finally:
         newest.unpersist()
 
@@ -102,7 +101,7 @@ def process_batch(batch, batch_id, model, sink, alerts_path, rejected_path=None)
     written with their reason to ``rejected_path``, by default beside the alerts.
 
     The scored batch is kept while both outputs are made of it, so sources and model run
-    once. Messages are stored in the order they are to be sent: FIRE before FIRE_RISK.
+    once. Messages are put in the order they are to be sent: FIRE before FIRE_RISK.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
