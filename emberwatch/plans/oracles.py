@@ -518,3 +518,5 @@ def _parts_sql():
 ORACLES["alert_message_parts"] = _parts_sql()
 ORACLES["alert_outbox"] = f"""SELECT place, severity_rank, part, text FROM (
   SELECT row_number() OVER (ORDER BY severity_rank, part) - 1 AS place, severity_rank, part, text FROM ({ORACLES["alert_message_parts"]})) WHERE place > 0"""
+ORACLES["rolled_history_totals"] = ORACLES["web_history_totals"]
+ORACLES["rolled_zone_sensors"] = _with("SELECT zone, count(*) AS records, count(DISTINCT sensor_id) AS sensors FROM predictions GROUP BY zone", "predictions")

@@ -6,12 +6,14 @@ that come late, and then asks through the table's log.
 
 from pyspark.sql import functions as F
 
+from emberwatch.constants import HISTORY_ROWS
 from emberwatch.operators import history, latest, web
 from emberwatch.schemas import PREDICTION_COLUMNS
 from emberwatch.sources import events
 from emberwatch.sources.batches import BatchLog
 from emberwatch.sources.shared import new_folder
 from emberwatch.sources.tables import read_predictions, with_row_ids
+from emberwatch.streaming.rollups import DistinctTotals
 
 BATCHES = 4
 ROWS_PER_FILE = 20_000
@@ -95,6 +97,27 @@ def rising_ids(spark, folder):
     return spans.select("rows", "ids", F.expr("forall(sequence(1, size(spans) - 1), k -> spans[k - 1].high < spans[k].low)").alias("rising"))
 
 
+def _rolled(rows, number, name, by=()):
+    """Totals of rows that came in batches, one of them twice."""
+    totals = DistinctTotals(rows.sparkSession, new_folder(rows.sparkSession, "totals"), name, by)
+    for batch, part in _batches(rows, number):
+        for _ in range(2 if batch == 1 else 1):
+            totals.add(part, batch, "plant")
+    return totals.totals()
+
+
+def rolled_history_totals(spark, folder):
+    """The totals of the web history from roll-ups."""
+    rows = web.identify(events.api_records(spark, folder))
+    found = _rolled(rows, F.col("order_id").cast("long"), "sensor")
+    return found.select(F.col("rows").alias("records"), F.col("names").alias("sensors"), F.least("rows", F.lit(HISTORY_ROWS).cast("long")).alias("shown"))
+
+
+def rolled_zone_sensors(spark, folder):
+    found = _rolled(events.predictions(spark, folder), F.col("id"), "sensor_id", ["zone"])
+    return found.withColumnsRenamed({"rows": "records", "names": "sensors"})
+
+
 QUERIES = {
     "read_predictions": read_stored,
     "maintained_latest_by_max_id": _maintained("latest_by_max_id", latest.latest_by_max_id),
@@ -103,4 +126,6 @@ QUERIES = {
     "stored_recent_history": stored_recent_history,
     "stored_history_by_time": stored_history_by_time,
     "rising_ids": rising_ids,
+    "rolled_history_totals": rolled_history_totals,
+    "rolled_zone_sensors": rolled_zone_sensors,
 }
