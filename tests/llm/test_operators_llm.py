@@ -162,8 +162,47 @@ def test_decontamination_of_short_and_unspaced_items(spark):
     texts = [f"前言。{chinese}后记", "问题：地球到月球的平均距离大约是多少公里", f"x {thai} y", "the quick, brown FOX runs", "a xylophone", "quick brown dog", "月亮很远", "p q x x r s", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = decontaminate.contaminated(docs, items).collect()
-    assert sorted((row.doc_id, row.item_id) for row in got) == [(0, 1), (1, 1), (2, 2), (3, 3), (4, 4), (7, 5)]
-    assert {row.doc_id for row in decontaminate.without_contaminated(docs, items).collect()} == {5, 6, 8}
+    assert sorted((row.doc_id, row.item_id) for row in got) == [(0, 1), (1, 1), (2, 2), (3, 3), (7, 5)]  # a lone common word is no copy
+    assert {row.doc_id for row in decontaminate.without_contaminated(docs, items).collect()} == {4, 5, 6, 8}
+
+
+def test_decontamination_leaves_common_phrases_alone(spark):
+    items = spark.createDataFrame(
+        [(1, "Yes"), (2, "What is the capital?"), (3, "Which of the following is a prime number?"), (4, "xylophone")], "item_id long, text string"
+    )
+    texts = ["The answer is yes.", "What is the best way?", "nothing here", "so\nYES!\nno", "Yes", "xylophone", "What then is the capital now", "the capital is what"]
+    common = [f"a{n} b{n} c{n} which of the following options d{n} e{n} f{n}" for n in range(60)]
+    leaked = [f"g{n} which of the following is a prime number h{n}" for n in range(60)]
+    edited = ["same page says which of the following is some other number in all its copies"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts + common + leaked + edited)), "doc_id long, text string")
+    got = sorted((row.doc_id, row.item_id) for row in decontaminate.contaminated(docs, items).collect())
+    assert got == [(3, 1), (4, 1), (5, 4), (6, 2)] + [(n, 3) for n in range(68, 188)]
+    kept = {row.doc_id for row in decontaminate.without_contaminated(docs, items).collect()}
+    assert kept == {0, 1, 2, 7} | set(range(8, 68))
+    few = docs.filter("doc_id < 3")
+    assert decontaminate.without_contaminated(few, items).count() == 3
+
+
+def test_seeds_let_nothing_accepted_escape():
+    rng = np.random.default_rng(11)
+    for match, mismatch, gap in ((2, -1, -1), (1, -1, -2), (3, -1, -2), (2, -3, -2)):
+        settings = decontaminate.Settings(match=match, mismatch=mismatch, gap=gap, points=25 * match)
+        items = [rng.integers(0, 40, int(rng.integers(8, 70))).astype(np.uint64) for _ in range(12)]
+        items = [decontaminate.hashing.mix(item) for item in items]
+        block = decontaminate.Block(list(range(len(items))), items, settings)
+        block.choose_seeds(rng.integers(0, 100, len(block.grams.keys)))
+        for _ in range(300):
+            item = int(rng.integers(len(items)))
+            change = rng.random()
+            text = [word for word in items[item] if rng.random() > change / 3]
+            for place in sorted(rng.integers(0, len(text) + 1, int(change * len(items[item]))))[::-1]:
+                text.insert(int(place), np.uint64(rng.integers(1, 1 << 60)))
+            text = np.array(text, np.uint64)
+            if decontaminate.align(items[item], text, settings)[0] < block.needed[item]:
+                continue
+            pairs = decontaminate._pairs(text)
+            assert item in {found[1] for found in block.candidates(text, pairs, np.array([0, len(text)]))}
+            assert block.best_passage(item, text, pairs) is not None
 
 
 def test_decontamination_finds_what_the_alignment_accepts(spark):
