@@ -431,13 +431,35 @@ def test_sharding(awkward, empty, spark):
         sizes[row.shard] += len((row.text or "").encode()) + 1
         slots.setdefault(row.shard, []).append(row.slot)
     largest = max(len((row.text or "").encode()) + 1 for row in got)
-    assert np.abs(sizes - sizes.mean()).max() <= 2 * largest  # one row is there twice, and such rows stay together
+    assert np.abs(sizes - sizes.mean()).max() <= largest
     assert all(sorted(own) == list(range(len(own))) for own in slots.values())
     assert sharding.shard_rows(empty, 8).count() == 0
     rough = sharding.shard_rows(rows, 4, tolerance=0.5).groupBy("shard").count().collect()
     assert sum(row["count"] for row in rough) == rows.count()
 
 
+def test_sharding_parts_equal_rows(spark):
+    rows = [(n, "different " * (n % 7) + str(n), "a", n, 0.5) for n in range(3000)] + [(9, "equal row", "b", 1, 0.5)] * 1500
+    rows += [(None, None, "c", n % 3, None) for n in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sort_key string, `sort.size` long, slot double").repartition(7)
+    got = sharding.shard_rows(docs, 16).collect()
+    assert got[0].__fields__ == ["doc_id", "text", "sort_key", "sort.size", "shard", "slot"]
+    assert sorted(map(repr, (tuple(row)[:4] for row in got))) == sorted(map(repr, (row[:4] for row in rows)))
+    hashed = lambda value: hashlib.md5(("" if value is None else str(value)).encode()).hexdigest()[:12]
+    bytes_of = lambda text: len((text or "").encode()) + 1
+    order = sorted((hashed(row[1]) + hashed(row[0]), bytes_of(row[1])) for row in rows)
+    total, before, expected, slots = sum(size for _, size in order), 0, [], {}
+    for key, size in order:
+        shard = sum(16 * before >= total * number for number in range(1, 16))
+        slots[shard] = slots.get(shard, -1) + 1
+        expected.append((key, shard, slots[shard]))
+        before += size
+    assert sorted((hashed(row.text) + hashed(row.doc_id), row.shard, row.slot) for row in got) == sorted(expected)
+    same = spark.createDataFrame([(1, "x" * 9)] * 50_001, "doc_id long, text string")
+    counts = {row.shard: (row.n, row.low, row.high) for row in sharding.shard_rows(same, 4).groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()}
+    assert sorted(n for n, _, _ in counts.values()) == [12500, 12500, 12500, 12501] and all((low, high) == (0, n - 1) for n, low, high in counts.values())
+
+
 def test_pipeline_stages(spark, small, awkward):
     import corpus_pipeline
 
