@@ -1,11 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Local alignment forgives changed, added and missing words. It is made where a passage holds
-a seed of the item: a word or a pair of neighbouring words of it, of those that are rarest
+Local alignment forgives changed, added and missing words. It is made where a document holds
+some seeds of the item: words or pairs of neighbouring words of it, of those that are rarest
 in the corpus. Seeds are chosen so that nothing escapes that the alignment would accept: an
-alignment with many pairs whole misses too few to miss all of the rarest pairs, one with
-few pairs needs so many words of the item that it cannot miss all of the rarest words.
-Where the line between the two is drawn, the documents that hold a seed are fewest.
+alignment with many pairs whole misses too few of them to miss the rarest ones, one with few
+pairs needs so many words of the item that it cannot miss the rarest words. Where the line
+between the two is drawn, seeds occur least often.
 
 What is found is no copy yet where it is a phrase that the corpus has in many different
 surroundings. Copies of a document do not make a phrase common: their surroundings are the same.
@@ -45,6 +45,9 @@ class Settings:
     common_share: float = 0.001
     #: or if it is this share of an item that is not short.
     whole_share: float = 0.8
+    #: Seeds of an item that a document must hold before it is aligned. Nothing escapes at any
+    #: number: the more are asked for, the more of the rarest n-grams are seeds.
+    least_seeds: int = 3
     #: Words on each side that make up the surroundings.
     context_words: int = 3
     #: Bytes of item texts in a block.
@@ -52,6 +55,7 @@ class Settings:
 
 
 _FILTER_BITS = 20
+_NEVER = 1 << 40
 _KINDS = [
     ("doc_id", pa.int64(), "long"),
     ("text_key", pa.int64(), "long"),
@@ -86,6 +90,39 @@ class Keys:
         return at[real], number[real]
 
 
+class Seeds:
+    """Inverted list of the seeds of all items, and how many places of seeds each needs."""
+
+    def __init__(self, lists, needed):
+        self.items, self.needed = len(lists), np.array(needed, np.int64)
+        hashes = np.concatenate([*lists, np.zeros(0, np.uint64)])
+        self.keys = Keys(hashes)
+        entries = np.searchsorted(self.keys.keys, hashes) * self.items + np.repeat(np.arange(self.items), [len(own) for own in lists])
+        entries, self.times = np.unique(entries, return_counts=True)
+        self.owners = entries % self.items
+        self.starts = np.searchsorted(entries // self.items, np.arange(len(self.keys.keys) + 1))
+
+    def found(self, hashes, bounds, short):
+        """For rows parted by ``bounds``: row * items + item, places of seeds found, and
+        whether they are enough. A pair (``short`` of 1) must not cross from row to row."""
+        size = max(len(self.keys.keys), 1)
+        hits = np.unique(_in_rows(self.keys, hashes, bounds, short, size))
+        row, number = hits // size, hits % size
+        per = self.starts[number + 1] - self.starts[number] if len(hits) else hits
+        entry = np.repeat(self.starts[number] - np.cumsum(per) + per, per) + np.arange(per.sum())
+        both, place = np.unique(np.repeat(row, per) * self.items + self.owners[entry], return_inverse=True)
+        places = np.bincount(place, self.times[entry], len(both)).astype(np.int64)
+        return both, places, places >= self.needed[both % self.items]
+
+
+def _in_rows(keys, hashes, bounds, short, size):
+    """row * size + number for each place of ``hashes`` that is a key."""
+    at, number = keys.find(hashes)
+    row = np.searchsorted(bounds, at, "right") - 1
+    inside = at + short < bounds[row + 1]
+    return row[inside] * size + number[inside]
+
+
 class Block:
     """Items of one block, what they need, and their seeds once the n-grams are counted."""
 
@@ -102,37 +139,35 @@ class Block:
         self.reach = (length + (self.best - self.needed) / self.error).astype(np.int64)
         self.line_only = length < settings.line_words
         self.grams = Keys(np.concatenate([*words, *self.pairs, np.zeros(0, np.uint64)]))
-        self.seeds = self.starts = self.owners = None
+        self.word_seeds = self.pair_seeds = None
 
     def choose_seeds(self, documents):
         """``documents`` says for each key of ``grams`` how many documents have it."""
-        hashes, owners = [], []
-        for item, (words, pairs) in enumerate(zip(self.words, self.pairs)):
-            for own in self._seeds_of(item, words, pairs, documents):
-                hashes.append(own)
-                owners.append(np.full(len(own), item))
-        hashes, owners = np.concatenate([*hashes, np.zeros(0, np.uint64)]), np.concatenate([*owners, np.zeros(0, np.int64)])
-        self.seeds = Keys(hashes)
-        entries = np.unique(np.searchsorted(self.seeds.keys, hashes) * len(self.ids) + owners)
-        self.owners = entries % len(self.ids)
-        self.starts = np.searchsorted(entries // len(self.ids), np.arange(len(self.seeds.keys) + 1))
+        chosen = [self._seeds_of(item, documents) for item in range(len(self.ids))]
+        self.word_seeds = Seeds([words for words, _, _, _ in chosen], [needed for _, needed, _, _ in chosen])
+        self.pair_seeds = Seeds([pairs for _, _, pairs, _ in chosen], [needed for _, _, _, needed in chosen])
         self.grams = None
 
-    def _seeds_of(self, item, words, pairs, documents):
+    def _seeds_of(self, item, documents):
+        """Word seeds, how many of them have to be there, pair seeds, and how many of those."""
+        words, pairs, least, size = self.words[item], self.pairs[item], self.settings.least_seeds, len(self.words[item])
         count = lambda hashes: documents[np.searchsorted(self.grams.keys, hashes)]
         word_order, pair_order = np.argsort(count(words), kind="stable"), np.argsort(count(pairs), kind="stable")
         if self.short[item]:  # all its words have to be there
-            return [words[word_order[:1]]]
-        size = len(words)
+            return words[word_order[:least]], min(least, size), pairs[:0], _NEVER
         word_cost = np.concatenate([[0], np.cumsum(count(words)[word_order])])
         pair_cost = np.concatenate([[0], np.cumsum(count(pairs)[pair_order])])
         choices = []
         for whole in range(1, size + 1):  # pairs from which on the pairs decide
             matched = self._fewest_words(item, whole)
-            take_words, take_pairs = max(size - matched + 1, 0), size - whole
-            choices.append((int(word_cost[take_words] + pair_cost[take_pairs]), take_words, take_pairs))
-        _, take_words, take_pairs = min(choices)
-        return [words[word_order[:take_words]], pairs[pair_order[:take_pairs]]]
+            need_words = min(least, matched) if matched <= size else 0
+            need_pairs = min(least, whole) if whole < size else 0
+            # so many can be missed, and so many more are found
+            take_words = size - matched + need_words if need_words else 0
+            take_pairs = size - 1 - whole + need_pairs if need_pairs else 0
+            choices.append((int(word_cost[take_words] + pair_cost[take_pairs]), take_words, need_words or _NEVER, take_pairs, need_pairs or _NEVER))
+        _, take_words, need_words, take_pairs, need_pairs = min(choices)
+        return words[word_order[:take_words]], need_words, pairs[pair_order[:take_pairs]], need_pairs
 
     def _fewest_words(self, item, whole):
         """Least matched words of an accepted alignment with fewer than ``whole`` pairs."""
@@ -149,18 +184,12 @@ class Block:
         return (self.settings.match - self.error) * words + self.error * (pairs + 1)
 
     def candidates(self, words, pairs, bounds):
-        """(row, item, seeds) of rows that hold seeds of an item; ``bounds`` parts the rows."""
-        found = []
-        for hashes, short in ((words, 0), (pairs, 1)):
-            at, number = self.seeds.find(hashes)
-            row = np.searchsorted(bounds, at, "right") - 1
-            inside = at + short < bounds[row + 1]  # a pair must not cross from row to row
-            found.append(row[inside] * len(self.seeds.keys) + number[inside])
-        hits = np.unique(np.concatenate(found))
-        row, number = hits // max(len(self.seeds.keys), 1), hits % max(len(self.seeds.keys), 1)
-        per = self.starts[number + 1] - self.starts[number]
-        entry = np.repeat(self.starts[number] - np.cumsum(per) + per, per) + np.arange(per.sum())
-        both, seeds = np.unique(np.repeat(row, per) * len(self.ids) + self.owners[entry], return_counts=True)
+        """(row, item, seeds) of rows that hold seeds enough of an item; ``bounds`` parts the rows."""
+        single, pair = self.word_seeds.found(words, bounds, 0), self.pair_seeds.found(pairs, bounds, 1)
+        both, place = np.unique(np.concatenate([single[0], pair[0]]), return_inverse=True)
+        seeds = np.bincount(place, np.concatenate([single[1], pair[1]]), len(both)).astype(np.int64)
+        enough = np.bincount(place, np.concatenate([single[2], pair[2]]), len(both)) > 0
+        both, seeds = both[enough], seeds[enough]
         return zip((both // len(self.ids)).tolist(), (both % len(self.ids)).tolist(), seeds.tolist())
 
     def windows(self, item, words, pairs):
@@ -285,12 +314,7 @@ def _counter(broadcast):
         counts = np.zeros(size, np.int64)
         for batch in batches:
             for _, words, _, bounds in _slices(batch.column("text")):
-                found = []
-                for hashes, short in ((words, 0), (_pairs(words), 1)):
-                    at, number = grams.find(hashes)
-                    row = np.searchsorted(bounds, at, "right") - 1
-                    inside = at + short < bounds[row + 1]
-                    found.append(row[inside] * size + number[inside])
+                found = [_in_rows(grams, hashes, bounds, short, size) for hashes, short in ((words, 0), (_pairs(words), 1))]
                 counts += np.bincount(np.unique(np.concatenate(found)) % size, minlength=size)
         there = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(counts[there])], ["gram", "documents"])
@@ -325,7 +349,7 @@ def _aligner(broadcast):
 
 def _passage(block, item, words, pairs, begins):
     """Score, first and last word, and whether it counts even as a common phrase."""
-    line = block.line(item, words, begins)
+    line = block.line(item, words, begins) if block.short[item] else -1
     if line >= 0:
         return int(block.best[item]), line, line + len(block.words[item]) - 1, True
     most = None if block.line_only[item] else block.best_passage(item, words, pairs)
