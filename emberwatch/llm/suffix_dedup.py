@@ -68,7 +68,7 @@ def _runs_of(data, bounds, length):
         return None
     sums = hashing.prefix_sums(data)
     places = np.arange(len(data) - ANCHOR + 1)
-    digits = hashing.span_hashes(sums, places, places + ANCHOR)
+    digits = hashing.short_span_hashes(sums, places, places + ANCHOR)
     keys = (digits >> np.uint64(_SIZE_BITS) << np.uint64(_SIZE_BITS)) | places.astype(np.uint64)
     anchors = (_window_minimum(keys, length - ANCHOR + 1) & np.uint64((1 << _SIZE_BITS) - 1)).astype(np.int64)
     opens = np.zeros(len(data) + 1, np.int32)

@@ -9,11 +9,12 @@ from fractions import Fraction
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from emberwatch.llm import chat, decontaminate, jaccard_join, language, mixing, nearest, pii, sharding, suffix_dedup, toxicity
+from emberwatch.llm import chat, decontaminate, hashing, jaccard_join, language, mixing, nearest, pii, sharding, suffix_dedup, toxicity
 from emberwatch.llm.common import table
 
 DOCS = "doc_id long, text string, lang string, source string, key string, score string"
@@ -94,6 +95,53 @@ def test_jaccard_components(spark, small, awkward, width, threshold):
     assert sorted((tuple(row) for row in got), key=str) == brute_components(rows, width, threshold)
 
 
+def alike_words():
+    """Two words of 1,024 letters, different in every letter, that agree in any sum of
+    letters times powers of an odd base modulo 2**64."""
+    turns = [bin(place).count("1") % 2 for place in range(1024)]
+    return tuple("".join("ab"[turn ^ other] for turn in turns) for other in (0, 1))
+
+
+def test_span_hashes_tell_alike_words_apart():
+    one, other = (np.frombuffer(word.encode(), np.uint8) for word in alike_words())
+    data = np.concatenate([one, other, one])
+    sums = hashing.prefix_sums(data)
+    starts = np.array([0, 1024, 2048])
+    short = hashing.short_span_hashes(sums, starts, starts + 1024)
+    assert short[0] == short[1] == short[2]
+    sound = hashing.span_hashes(sums, starts, starts + 1024)
+    assert sound[0] == sound[2] != sound[1]
+    hashes = hashing.word_hashes(data, starts, starts + 1024)
+    assert hashes[0] == hashes[2] != hashes[1]
+
+
+def test_span_hashes_do_not_depend_on_the_place(monkeypatch):
+    monkeypatch.setattr(hashing, "_SUMMED", 1000)
+    span = np.random.default_rng(4).integers(0, 256, 1500).astype(np.uint8)
+    data = np.concatenate([span[:7], span, span[:901], span])
+    sums = hashing.prefix_sums(data)
+    got = hashing.span_hashes(sums, np.array([7, 2408, 0]), np.array([1507, 3908, 1500]))
+    assert got[0] == got[1] != got[2]
+    power, total = 1, 0
+    for byte in data[:2600]:
+        total, power = (total + (int(byte) + 1) * power) % hashing.PRIME, power * hashing.ROOT % hashing.PRIME
+    assert int(sums[1][2600]) % hashing.PRIME == total
+
+
+def test_alike_words_are_different_texts(spark):
+    one, other = alike_words()
+    rows = [(1, one), (2, other), (3, f"{one} x y z"), (4, f"{other} x y z"), (5, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.near_duplicate_components(docs, 3, Fraction(9, 10)).collect()
+    assert sorted((row.doc_id, row.component_id) for row in got) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2)]
+    cut = {row.doc_id: row.n_removed for row in suffix_dedup.remove_repeats(docs, length=1024).collect()}
+    assert cut == {1: 0, 2: 0, 3: 1024, 4: 1024, 5: 1024}
+    items = spark.createDataFrame([(1, one)], "item_id long, text string")
+    assert sorted(row.doc_id for row in decontaminate.without_contaminated(docs, items).collect()) == [2, 3, 4, 5]
+    places = [set(terms.tolist()) for _, _, _, terms in toxicity.hashed_terms(pa.array([one]), 20)]
+    assert places != [set(terms.tolist()) for _, _, _, terms in toxicity.hashed_terms(pa.array([other]), 20)]
+
+
 def test_subset_sizes_and_boundary():
     assert [jaccard_join.overlap(s, s, Fraction(9, 10)) for s in (1, 9, 18, 19, 38)] == [1, 9, 18, 18, 36]
     assert jaccard_join.light_boundary({}, Fraction(9, 10)) == 0
