@@ -4,6 +4,12 @@ A linear model adds the weights of terms; a factorization machine also gives eve
 terms the product of two short vectors, so that a mild word next to a named group can count
 for more than both alone. It is fitted on a bounded sample of labelled rows and then scores
 every whole text.
+
+All terms of the sample take part. What a term may weigh grows with the evidence for it (its
+chi-square with the label, and how often it was seen), so that a hundred thousand rare terms
+cannot learn the sample by heart, while a frequent term without a signal of its own still
+has a say in pairs. One row in ``fold`` is kept from training: it says when to stop, and its
+labels turn sums into shares, so that a score of 0.7 means 0.7.
 """
 
 from dataclasses import dataclass, field
@@ -23,36 +29,53 @@ class Settings:
     sample_rows: int = 12_000
     #: Places that terms are hashed to.
     hash_bits: int = 20
-    #: Terms that take part, those that tell the labels apart best.
-    terms: int = 1024
-    #: Least chi-square of a term with the label.
-    least_signal: float = 16.0
+    #: Evidence at which a term has half its full weight, and sightings worth one unit of it.
+    half_evidence: float = 30.0
+    sightings: float = 30.0
+    #: Documents of the sample a term must be in to have factors.
+    least_seen: int = 50
     factors: int = 4
     epochs: int = 30
     batch: int = 256
     rate: float = 0.05
     decay: float = 1e-3
+    #: One row in so many is kept to stop and to calibrate; epochs without gain before it stops.
+    fold: int = 10
+    patience: int = 3
     threshold: float = 0.7
 
 
 @dataclass
 class FactorizationMachine:
-    """``places`` maps a hashed term to its number, -1 where it takes no part."""
+    """``places`` maps a hashed term to its number, -1 where it was never seen. The first
+    ``len(factors)`` numbers are terms that have factors."""
 
     places: np.ndarray
     bias: float
     linear: np.ndarray
     factors: np.ndarray
+    slope: float = 1.0
+    offset: float = 0.0
     settings: Settings = field(default_factory=Settings)
 
-    def score_rows(self, rows, terms, count):
-        """Scores of ``count`` rows from pairs (row, term number) that occur in them."""
+    def sums(self, rows, terms, count):
+        """Sums before calibration of ``count`` rows from pairs (row, term number)."""
         sums = np.full(count, self.bias)
         sums += np.bincount(rows, self.linear[terms], count)
+        paired = terms < len(self.factors)
+        rows, terms = rows[paired], terms[paired]
         for factor in self.factors.T:
             inner = np.bincount(rows, factor[terms], count)
             sums += 0.5 * (inner**2 - np.bincount(rows, factor[terms] ** 2, count))
-        return 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
+        return sums
+
+    def score_rows(self, rows, terms, count):
+        """Scores of ``count`` rows from pairs (row, term number) that occur in them."""
+        return _share(self.slope * self.sums(rows, terms, count) + self.offset)
+
+
+def _share(sums):
+    return 1 / (1 + np.exp(-np.clip(sums, -40, 40)))
 
 
 def hashed_terms(column, bits, places=None):
@@ -79,13 +102,13 @@ def _term_lists(bits):
     return rows
 
 
-def _signal(rows, terms, labels, size):
+def _signal(rows, terms, labels, size, total):
     """Chi-square of each hashed term with the label."""
-    total, toxic = len(labels), labels.sum()
+    toxic = labels.sum()
     seen = np.bincount(terms, minlength=size)
     hits = np.bincount(terms, labels[rows], size)
     expected = seen * toxic / max(total, 1)
-    spread = expected * (1 - toxic / max(total, 1)) * (1 - seen / max(total, 1))
+    spread = expected * (1 - toxic / max(total, 1)) * (1 - np.minimum(seen / max(total, 1), 1))
     return np.where(spread > 0, (hits - expected) ** 2 / np.maximum(spread, 1e-12), 0.0)
 
 
@@ -97,52 +120,101 @@ def fit(labelled, settings=None):
     labelled row, or with one label only, all scores are its smoothed share.
     """
     settings = settings or Settings()
-    size = 1 << settings.hash_bits
     rows = labelled.filter("label IS NOT NULL").select("label", "text")
     rows = rows.mapInArrow(_term_lists(settings.hash_bits), "label int, terms array<int>")
     table = rows.orderBy(F.xxhash64("terms"), "label").limit(settings.sample_rows).toArrow().combine_chunks()
     labels = np.asarray(table.column("label").combine_chunks(), dtype=float) if table.num_rows else np.zeros(0)
     lists = table.column("terms").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
-    row = np.repeat(np.arange(len(labels)), np.asarray(lists.value_lengths(), dtype=np.int64))
-    terms = np.asarray(lists.flatten(), dtype=np.int64)
-
-    signal = _signal(row, terms, labels, size)
-    best = np.lexsort((np.arange(size), -signal))[: settings.terms]
-    best = best[signal[best] >= settings.least_signal]
-    places = np.full(size, -1, np.int64)
-    places[best] = np.arange(len(best))
-    rate = (labels.sum() + 1) / (len(labels) + 2)
-    start = np.random.default_rng(11).normal(0, 0.05, (len(best), settings.factors))
-    machine = FactorizationMachine(places, float(np.log(rate / (1 - rate))), np.zeros(len(best)), start, settings)
-    if len(best):
-        chosen = places[terms] >= 0
-        _descend(machine, row[chosen], places[terms[chosen]], labels)
+    row = np.repeat(np.arange(len(labels), dtype=np.int32), np.asarray(lists.value_lengths(), dtype=np.int64))
+    return train(row, np.asarray(lists.flatten(), dtype=np.int32), labels, settings)
+
+
+def train(row, terms, labels, settings=None):
+    """The machine for rows of ``labels``, given the pairs (row, hashed term), by row."""
+    settings = settings or Settings()
+    size, rate = 1 << settings.hash_bits, (labels.sum() + 1) / (len(labels) + 2)
+    seen = np.bincount(terms, minlength=size)
+    there = np.flatnonzero(seen)
+    if rate in (1 / (len(labels) + 2), 1 - 1 / (len(labels) + 2)):
+        there = there[:0]
+    there = there[np.argsort(seen[there] < settings.least_seen, kind="stable")]
+    places = np.full(size, -1, np.int32)
+    places[there] = np.arange(len(there))
+    start = np.random.default_rng(11).normal(0, 0.05, (int((seen[there] >= settings.least_seen).sum()), settings.factors))
+    machine = FactorizationMachine(places, float(np.log(rate / (1 - rate))), np.zeros(len(there)), start, settings=settings)
+    if len(there):
+        offsets = np.searchsorted(row, np.arange(len(labels) + 1))
+        aside = np.arange(len(labels)) % settings.fold == 0
+        chosen = aside[row]
+        signal = _signal(row[~chosen], terms[~chosen], labels * ~aside, size, (~aside).sum())[there]
+        evidence = signal + seen[there] / settings.sightings
+        _descend(machine, places[terms], offsets, labels, aside, evidence / (evidence + settings.half_evidence))
     return machine
 
 
-def _descend(machine, row, terms, labels):
-    """Logistic loss, steps scaled by past gradients, weights pulled towards zero."""
+def _of_rows(terms, offsets, picked):
+    """Pairs (place among ``picked``, term) of some rows."""
+    counts = offsets[picked + 1] - offsets[picked]
+    at = np.repeat(offsets[picked] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    return np.repeat(np.arange(len(picked)), counts), terms[at]
+
+
+def _descend(machine, terms, offsets, labels, aside, worth):
+    """Logistic loss, steps scaled by past gradients and by the worth of a term, weights
+    pulled towards zero. Weights are those after the epoch that did best on rows ``aside``."""
     settings = machine.settings
-    order = np.argsort(row, kind="stable")
-    row, terms = row[order], terms[order]
-    offsets = np.searchsorted(row, np.arange(len(labels) + 1))
     past = [1e-8, np.full(machine.linear.shape, 1e-8), np.full(machine.factors.shape, 1e-8)]
     shuffle = np.random.default_rng(7)
+    used, kept_rows = np.flatnonzero(~aside), np.flatnonzero(aside)
+    check, least, idle = _of_rows(terms, offsets, kept_rows), np.inf, 0
+    machine.factors *= worth[: len(machine.factors), None]
+    best = (machine.bias, machine.linear, machine.factors)
     for _ in range(settings.epochs):
-        for picked in np.array_split(shuffle.permutation(len(labels)), max(1, len(labels) // settings.batch)):
-            counts = offsets[picked + 1] - offsets[picked]
-            at = np.repeat(offsets[picked] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            rows, own = np.repeat(np.arange(len(picked)), counts), terms[at]
-            error = (machine.score_rows(rows, own, len(picked)) - labels[picked]) / len(picked)
-            inner = np.stack([np.bincount(rows, factor[own], len(picked)) for factor in machine.factors.T], 1)
-            slopes = error[rows, None] * (inner[rows] - machine.factors[own])
-            linear = np.bincount(own, error[rows], len(machine.linear)) + settings.decay * machine.linear / 10
-            factors = np.stack([np.bincount(own, slope, len(machine.linear)) for slope in slopes.T], 1)
-            factors += settings.decay * machine.factors
-            past = [past[0] + error.sum() ** 2, past[1] + linear**2, past[2] + factors**2]
-            machine.bias -= settings.rate * error.sum() / np.sqrt(past[0])
-            machine.linear -= 4 * settings.rate * linear / np.sqrt(past[1])
-            machine.factors -= settings.rate * factors / np.sqrt(past[2])
+        for picked in np.array_split(shuffle.permutation(used), max(1, len(used) // settings.batch)):
+            _step(machine, *_of_rows(terms, offsets, picked), labels[picked], past, worth)
+        sums = machine.sums(*check, len(kept_rows))
+        loss = (np.logaddexp(0, sums) - labels[kept_rows] * sums).mean()
+        idle = 0 if loss < least else idle + 1
+        if loss < least:
+            least, best = loss, (machine.bias, machine.linear.copy(), machine.factors.copy())
+        if idle == settings.patience:
+            break
+    machine.bias, machine.linear, machine.factors = best
+    machine.slope, machine.offset = _calibration(machine.sums(*check, len(kept_rows)), labels[kept_rows])
+
+
+def _step(machine, rows, own, labels, past, worth):
+    settings, count = machine.settings, len(labels)
+    error = (_share(machine.sums(rows, own, count)) - labels) / count
+    touched, own = np.unique(own, return_inverse=True)
+    slope = np.bincount(own, error[rows], len(touched)) * worth[touched] + settings.decay * machine.linear[touched] / 10
+    past[0] += error.sum() ** 2
+    machine.bias -= settings.rate * error.sum() / np.sqrt(past[0])
+    past[1][touched] += slope**2
+    machine.linear[touched] -= 4 * settings.rate * worth[touched] * slope / np.sqrt(past[1][touched])
+    paired = touched[: np.searchsorted(touched, len(machine.factors))]
+    rows, own = rows[own < len(paired)], own[own < len(paired)]
+    for place in range(settings.factors):
+        factor = machine.factors[paired, place]
+        inner = np.bincount(rows, factor[own], count)
+        slope = np.bincount(own, error[rows] * (inner[rows] - factor[own]), len(paired)) * worth[paired] + settings.decay * factor
+        past[2][paired, place] += slope**2
+        machine.factors[paired, place] -= settings.rate * worth[paired] * slope / np.sqrt(past[2][paired, place])
+
+
+def _calibration(sums, labels):
+    """Slope and offset that turn sums into shares: logistic regression on softened labels,
+    which keeps the slope finite where sums part the labels."""
+    ones = labels.sum()
+    goal = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
+    weights, design = np.array([1.0, 0.0]), np.stack([sums, np.ones(len(sums))], 1)
+    for _ in range(100):
+        share = _share(design @ weights)
+        slope = design.T @ (share - goal) + 1e-3 * (weights - [1.0, 0.0])
+        bend = (design * (share * (1 - share))[:, None]).T @ design + 1e-3 * np.eye(2)
+        move = np.linalg.solve(bend, slope)
+        weights = weights - move * min(1.0, 2.0 / np.abs(move).max(initial=1e-12))
+    return (float(weights[0]), float(weights[1])) if weights[0] > 0 else (1.0, 0.0)
 
 
 def _scorer(machine, text, drop, broadcast):

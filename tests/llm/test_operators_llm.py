@@ -395,6 +395,53 @@ def test_toxicity_learns_a_pair(spark, empty):
     assert toxicity.fit(frame.limit(0)).score_rows(np.zeros(0, int), np.zeros(0, int), 1)[0] == 0.5
 
 
+def labelled_pairs(toxic, count=3000):
+    """Rows of fillers in which two words stand at random; ``toxic`` decides by both."""
+    rng = np.random.default_rng(2)
+    marks = rng.random((count, 2)) < 0.5
+    texts = [" ".join([f"f{rng.integers(50)}" for _ in range(8)] + ["mild"] * a + ["group"] * b) for a, b in marks.tolist()]
+    return texts, np.array([float(toxic(a, b)) for a, b in marks.tolist()])
+
+
+def trained(texts, labels, settings=None):
+    found = [(rows + first, terms) for first, _, rows, terms in toxicity.hashed_terms(pa.array(texts), 20)]
+    rows, terms = (np.concatenate(part).astype(np.int32) for part in zip(*found))
+    machine = toxicity.train(rows, terms, labels, settings)
+    return machine, rows, machine.places[terms]
+
+
+def test_toxicity_learns_a_pair_without_signal_of_its_words():
+    texts, labels = labelled_pairs(lambda a, b: a != b)
+    machine, rows, terms = trained(texts, labels)
+    scores = machine.score_rows(rows, terms, len(texts))
+    assert ((scores >= 0.5) == (labels == 1)).mean() > 0.97
+
+
+def test_toxicity_scores_against_plain_sums():
+    texts, labels = labelled_pairs(lambda a, b: a and b)
+    machine, rows, terms = trained(texts, labels, toxicity.Settings(least_seen=1000))
+    assert 0 < len(machine.factors) < len(machine.linear)
+    scores = machine.score_rows(rows, terms, len(texts))
+    for row in range(0, 3000, 100):
+        own = terms[rows == row]
+        vectors = [machine.factors[t] for t in own if t < len(machine.factors)]
+        total = machine.bias + sum(machine.linear[t] for t in own)
+        total += sum(float(a @ b) for k, a in enumerate(vectors) for b in vectors[:k])
+        assert abs(scores[row] - 1 / (1 + np.exp(-machine.slope * total - machine.offset))) < 1e-9
+
+
+def test_toxicity_scores_are_shares():
+    rng = np.random.default_rng(6)
+    texts, sure = labelled_pairs(lambda a, b: a and b, 12_000)  # a fold of 1,000: shares are known to about 0.03
+    labels = np.where(rng.random(len(sure)) < 0.2, 1 - sure, sure)  # one label in five is wrong
+    machine, _, _ = trained(texts[:10_000], labels[:10_000])
+    _, count, rows, terms = next(toxicity.hashed_terms(pa.array(texts[10_000:]), 20, machine.places))
+    scores = machine.score_rows(rows, terms, count)
+    for group in (scores >= 0.5, scores < 0.5):  # on rows never trained on
+        assert group.sum() > 100 and abs(scores[group].mean() - labels[10_000:][group].mean()) < 0.08
+    assert trained(texts[:3000], np.ones(3000))[0].score_rows(np.zeros(0, int), np.zeros(0, int), 1)[0] == pytest.approx(3001 / 3002)
+
+
 def test_toxicity_columns(spark, awkward, small):
     docs = table(spark, small, "documents")
     machine = toxicity.fit(toxicity.labelled_texts(docs, table(spark, small, "labels")))
