@@ -11,22 +11,38 @@ from emberwatch.operators import history, latest, web
 from emberwatch.schemas import PREDICTION_COLUMNS
 from emberwatch.sources import events
 from emberwatch.sources.batches import BatchLog
-from emberwatch.sources.shared import new_folder
+from emberwatch.sources.shared import delete, new_folder
 from emberwatch.sources.tables import read_predictions, with_row_ids
 from emberwatch.streaming.rollups import DistinctTotals
 
 BATCHES = 4
 ROWS_PER_FILE = 20_000
+#: Size of the row groups that rows lie in before they are stored as batches.
+ROW_GROUP_BYTES = 8 << 20
+_PLACE = "place of the batch"
 
 
 def _batches(rows, number):
-    """Rows in batches by rising number; every fiftieth comes one batch late."""
+    """Rows in batches by rising number; every fiftieth comes one batch late.
+
+    The rows are worked out and dealt over the batches in one pass, whatever the number of batches,
+    and lie in a folder until the last batch is taken. Row groups are small there, so that all
+    tasks share in a batch even where the rows of a batch come from few tasks.
+    """
+    spark = rows.sparkSession
     bounds = rows.agg(F.min(number).alias("low"), F.max(number).alias("high")).first()
     low, high = bounds["low"] or 0, bounds["high"] or 0
     width = (high - low) // BATCHES + 1
     place = F.least(F.lit(BATCHES - 1), F.floor((number - low) / width) + F.when(number % 50 == 0, 1).otherwise(0))
-    for batch in range(BATCHES):
-        yield batch, rows.filter(F.coalesce(place, F.lit(0)) == batch)
+    dealt = rows.withColumn(_PLACE, F.coalesce(place, F.lit(0)).cast("int"))
+    folder = new_folder(spark, "dealt")
+    try:
+        dealt.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(_PLACE).parquet(folder)
+        read = spark.read.schema(dealt.schema).parquet(folder)
+        for batch in range(BATCHES):
+            yield batch, read.filter(F.col(_PLACE) == batch).drop(_PLACE)
+    finally:
+        delete(spark, folder)
 
 
 def _stored(spark, rows, number, name, operator=None, **zones):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberwatch.operators import history, latest, trend
+from emberwatch.plans import stored as stored_queries
 from emberwatch.sources import batches, tables
 from emberwatch.sources.batches import BatchLog
 from emberwatch.sources.shared import names_in, rename_once
@@ -209,3 +210,25 @@ def test_latest_reads_the_snapshot_and_what_is_newer(spark, log):
     assert [os.path.dirname(line.file) for line in newer.collect()] == ["stream=s/batch_group=0/batch_id=5"]
     read = log.latest("by_id", latest.latest_by_max_id).inputFiles()
     assert sum("batch_id=" in name for name in read) == 1 and all("batch_id=5" in name or "_latest" in name for name in read)
+
+
+def test_batches_are_dealt_in_one_pass(spark, tmp_path):
+    """A batch reads its own rows only, not the table once more, and shares them over tasks."""
+    numbers = [None, None, *range(1000), 999, 50]
+    source = str(tmp_path / "source")
+    spark.createDataFrame([(number, f"S{number}") for number in numbers], "id long, name string").coalesce(1).write.parquet(source)
+    rows = spark.read.parquet(source)
+    given = set(rows.inputFiles())
+    want = lambda number: min(3, number // 250 + (number % 50 == 0)) if number is not None else 3
+    folders = set()
+    for batch, part in stored_queries._batches(rows, F.col("id")):
+        assert part.columns == rows.columns and not given & set(part.inputFiles())
+        folders |= {os.path.dirname(os.path.dirname(name.removeprefix("file://"))) for name in part.inputFiles()}
+        assert values(part) == sorted(((number, f"S{number}") for number in numbers if want(number) == batch), key=str)
+    assert len(folders) == 1 and not os.path.exists(folders.pop())
+
+
+def test_batches_without_rows(spark):
+    rows = spark.createDataFrame([(7, "A")], "id long, name string")
+    assert [(batch, part.count()) for batch, part in stored_queries._batches(rows, F.col("id"))] == [(0, 1), (1, 0), (2, 0), (3, 0)]
+    assert [part.collect() for _, part in stored_queries._batches(rows.limit(0), F.col("id"))] == [[], [], [], []]
