@@ -2,6 +2,8 @@
 
 import json
 import random
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +84,48 @@ def test_fits_side_by_side_are_those_alone(labelled):
         assert seconds > 0 and training.evaluate(model, rows).collect() == training.evaluate(alone, rows).collect()
 
 
+def test_many_rows_are_spread_evenly(spark, monkeypatch):
+    """One full part and empty ones become a part for each core; few rows and more parts stay."""
+    cores = spark.sparkContext.defaultParallelism
+    assert cores > 1
+    names = [F.rand(place).alias(name) for place, name in enumerate(FEATURES)]
+    rows = spark.range(0, 4000, 1, 4).select(*names, (F.col("id") % 2).cast("int").alias("label"))
+    uneven = rows.unionAll(rows.limit(0)).coalesce(1)
+    assert training.spread(uneven) is uneven
+    monkeypatch.setattr(training, "ROWS_PER_CORE", 4000 // cores)
+    sizes = [row["count"] for row in training.spread(uneven).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == cores and max(sizes) - min(sizes) <= 1 and sum(sizes) == 4000
+    assert training.spread(uneven).exceptAll(uneven).isEmpty() and uneven.exceptAll(training.spread(uneven)).isEmpty()
+    many = rows.repartition(cores + 1)
+    assert training.spread(many) is many
+
+    fitted_on = []
+    monkeypatch.setattr(training, "_fit", lambda name, given, invalid: fitted_on.append(given.rdd.getNumPartitions()))
+    training.train("RF1", uneven)
+    training.fit_all(["RF1"], training.spread(uneven))
+    assert fitted_on == [cores, cores]
+
+
+@pytest.mark.parametrize("parts, most", [("full", 1), ("few", 2)])
+def test_forests_that_fill_the_cores_wait_for_each_other(spark, monkeypatch, parts, most):
+    lock, running, seen = threading.Lock(), [], []
+
+    def fit(name, rows, invalid):
+        with lock:
+            running.append(name)
+            seen.append(sum(name.startswith("RF") for name in running))
+        time.sleep(0.5)
+        with lock:
+            running.remove(name)
+        return name
+
+    monkeypatch.setattr(training, "_fit", fit)
+    rows = spark.range(100).repartition(spark.sparkContext.defaultParallelism if parts == "full" else 1)
+    found = training.fit_all(["RF1", "RF2", "DT1", "LR1"], rows, at_once=2)
+    assert {name: model for name, (model, _) in found.items()} == {name: name for name in ("RF1", "RF2", "DT1", "LR1")}
+    assert max(seen) == most
+
+
 @pytest.mark.slow
 def test_all_twelve(spark, labelled):
     rows = training.training_rows(labelled)
