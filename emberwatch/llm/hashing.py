@@ -15,6 +15,8 @@ _BASE_INVERSE = pow(BASE, -1, 1 << 64)
 PRIME = (1 << 31) - 1
 #: A primitive root: 7 is one, and the exponent shares no factor with PRIME - 1.
 ROOT = pow(7, 1_000_003, PRIME)
+#: Spans of fewer bytes are safe with the first sum alone: known texts that agree need far longer ones.
+SHORT = 64
 #: Bytes whose terms (40 bits each) add up without an overflow.
 _SUMMED = 1 << 23
 _SPACES = np.zeros(256, bool)
@@ -171,7 +173,22 @@ def word_hashes(data, starts, ends, codes=LOWER_CODES):
     return hashes
 
 
-def texts_of_words(column, terms=False, size=SLICE, characters=False):
+def quick_word_hashes(data, starts, ends, codes=LOWER_CODES):
+    """Like ``word_hashes``, with other values: words below ``SHORT`` bytes need one sum only."""
+    hashes = np.empty(len(starts), np.uint64)
+    for first, last in _cuts(starts, ends, len(data), SLICE):
+        low = starts[first]
+        part = data[low : ends[last - 1]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(codes[0][part] * _power_tables(len(part) + 1)[0][: len(part)], dtype=np.uint64, out=sums[1:])
+        hashes[first:last] = short_span_hashes((sums,), starts[first:last] - low, ends[first:last] - low)
+    long = np.flatnonzero(ends - starts >= SHORT)
+    if len(long):
+        hashes[long] = word_hashes(data, starts[long], ends[long], codes)
+    return hashes
+
+
+def texts_of_words(column, terms=False, size=SLICE, characters=False, hashed=word_hashes):
     """For slices of rows: first row, row count, word hashes, offsets of the rows into them."""
     data, offsets = column_bytes(column)
     for first, last in row_slices(offsets, size):
@@ -179,7 +196,7 @@ def texts_of_words(column, terms=False, size=SLICE, characters=False):
         part = data[low:high]
         starts, ends = word_spans(part, offsets[first : last + 1] - low, terms, characters)
         bounds = np.searchsorted(starts, offsets[first : last + 1] - low)
-        yield first, last - first, word_hashes(part, starts, ends), bounds
+        yield first, last - first, hashed(part, starts, ends), bounds
 
 
 def signed(values):

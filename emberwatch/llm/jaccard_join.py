@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from emberwatch.llm import hashing
-from emberwatch.llm.common import kept, sized
+from emberwatch.llm.common import kept, parts_for, sized
 from emberwatch.llm.components import components
 
 #: Shingles in more documents than this are moved to the end of the order.
@@ -39,6 +39,12 @@ SUBSETS = 4096
 #: Cost of a posting in an inverted list, with the verification that follows, in subsets.
 POSTING_COST = 9
 BINS = 32
+#: Shingles that a task counts before it hands the counts on, and those of a range of the hash space.
+BLOCK = 1 << 21
+#: Ranges of the hash space at least, so that small tables are dealt over many tasks too.
+RANGES = 1 << 10
+#: First bits of a hash by which most shingles are known not to be frequent.
+FIRST_BITS = 22
 #: Rows or shingles that a task hands on at once.
 _ROWS_AT_ONCE = 1 << 17
 
@@ -52,6 +58,12 @@ def prefix_length(size, threshold):
     return size - math.ceil(threshold * size) + 1
 
 
+def prefix_lengths(sizes, threshold):
+    """``prefix_length`` of many sizes."""
+    p, q = threshold.numerator, threshold.denominator
+    return sizes - (p * sizes + q - 1) // q + 1
+
+
 def partner_sizes(size, threshold):
     return range(math.ceil(threshold * size), math.floor(size / threshold) + 1)
 
@@ -81,37 +93,56 @@ def light_boundary(histogram, threshold):
 # --- sets from texts
 
 
-def shingle_hashes(words, width):
-    """Hashes of the shingles of one text; a shorter text is one shingle."""
-    count = len(words)
-    if not count:
-        return words
-    size = min(width, count)
-    hashes = np.full(count - size + 1, size, np.uint64)
-    for place in range(size):
-        hashes = hashing.mix(hashes * np.uint64(0x9E3779B97F4A7C15) + words[place : place + count - size + 1])
-    return np.unique(hashes)
+def shingle_sets(words, bounds, width):
+    """Sets of the hashed shingles of texts, one after another, and their bounds.
+
+    ``bounds`` are those of the texts in ``words``. Each set is in ascending order. A text
+    of fewer words than ``width`` is one shingle.
+    """
+    counts = np.diff(bounds)
+    ends = np.cumsum(np.where(counts > width, counts - width + 1, np.minimum(counts, 1)))
+    starts = np.concatenate([[0], ends[:-1]])
+    at = np.arange(ends[-1]) + np.repeat(bounds[:-1] - starts, ends - starts)
+    sizes = np.repeat(np.minimum(counts, width), ends - starts)
+    hashes = sizes.astype(np.uint64)
+    some_short = bool((sizes < width).any())
+    for place in range(width):
+        following = words[np.minimum(at + place, len(words) - 1)] if some_short else words[at + place]
+        longer = hashing.mix(hashes * np.uint64(0x9E3779B97F4A7C15) + following)
+        hashes = np.where(place < sizes, longer, hashes) if some_short else longer
+    for low, high in zip(starts.tolist(), ends.tolist()):
+        hashes[low:high].sort()
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[starts[ends > starts]] = True
+    kept_before = np.concatenate([[0], np.cumsum(new)])
+    return hashes[new], kept_before[np.concatenate([[0], ends])]
 
 
 def _sets(batch, width):
-    """(row, set) for each row with words."""
-    for first, rows, words, bounds in hashing.texts_of_words(batch.column("text")):
-        for row in range(rows):
-            if bounds[row + 1] > bounds[row]:
-                yield first + row, shingle_hashes(words[bounds[row] : bounds[row + 1]], width)
+    """For slices of rows: the rows with words, their sets one after another, and the bounds of these."""
+    for first, _, words, bounds in hashing.texts_of_words(batch.column("text"), hashed=hashing.quick_word_hashes):
+        if len(words):
+            hashes, bounds = shingle_sets(words, bounds, width)
+            filled = np.flatnonzero(np.diff(bounds))
+            yield first + filled, hashes, np.append(bounds[filled], bounds[-1])
 
 
-def _class_key(hashes):
-    """96 bits that name a set."""
-    with np.errstate(over="ignore"):
-        first = hashing.mix(hashes.sum(dtype=np.uint64))
-        second = hashing.mix((hashes * (hashes | np.uint64(1))).sum(dtype=np.uint64) ^ first)
-    return first.astype(">u8").tobytes() + second.astype(">u8").tobytes()[:4]
+def _class_keys(hashes, bounds):
+    """96 bits that name each set."""
+    first = hashing.mix(np.add.reduceat(hashes, bounds[:-1]))
+    second = hashing.mix(np.add.reduceat(hashes * (hashes | np.uint64(1)), bounds[:-1]) ^ first)
+    first, second = (part.astype(">u8").view(np.uint8).reshape(-1, 8) for part in (first, second))
+    names = np.concatenate([first, second[:, :4]], axis=1).tobytes()
+    return [names[at : at + 12] for at in range(0, len(names), 12)]
 
 
-def _bins(hashes):
-    """Shingles per bin of the hash space, modulo 256."""
-    return np.bincount((hashes >> np.uint64(20)) % np.uint64(BINS), minlength=BINS).astype(np.uint8).tobytes()
+def _bins(hashes, bounds):
+    """Shingles of each set per bin of the hash space, modulo 256."""
+    sets = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) * BINS
+    bins = sets + ((hashes >> np.uint64(20)) % np.uint64(BINS)).astype(np.int64)
+    counts = np.bincount(bins, minlength=BINS * (len(bounds) - 1)).astype(np.uint8).tobytes()
+    return [counts[at : at + BINS] for at in range(0, len(counts), BINS)]
 
 
 def _describe(width):
@@ -119,8 +150,10 @@ def _describe(width):
         for batch in batches:
             count = batch.num_rows
             sizes, keys, bins = np.zeros(count, np.int64), [None] * count, [None] * count
-            for row, hashes in _sets(batch, width):
-                sizes[row], keys[row], bins[row] = len(hashes), _class_key(hashes), _bins(hashes)
+            for filled, hashes, bounds in _sets(batch, width):
+                sizes[filled] = np.diff(bounds)
+                for row, key, counted in zip(filled.tolist(), _class_keys(hashes, bounds), _bins(hashes, bounds)):
+                    keys[row], bins[row] = key, counted
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(sizes), pa.array(keys, pa.binary()), pa.array(bins, pa.binary())],
                 ["doc_id", "text_key", "size", "cls", "bins"],
@@ -129,28 +162,94 @@ def _describe(width):
     return rows
 
 
-def _counted(width):
+def _range_width(ranges):
+    """Width of equal ranges of 64-bit hashes."""
+    return ((1 << 64) - 1) // ranges + 1
+
+
+def _block_rows(hashes, ranges):
+    """Counts of ``hashes``, a row for each range of the hash space."""
+    values, counts = np.unique(hashes, return_counts=True)
+    owner = (values // np.uint64(_range_width(ranges))).astype(np.int64)
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    ends = np.append(starts[1:], len(values)).tolist()
+    blocks = [(pa.py_buffer(part), size) for part, size in ((values, 8), (counts.astype(np.uint32), 4))]
+    shingles, times = ([buffer[size * low : size * high].to_pybytes() for low, high in zip(starts.tolist(), ends)] for buffer, size in blocks)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(owner[starts].astype(np.int32)), pa.array(shingles, pa.binary()), pa.array(times, pa.binary())],
+        ["part", "shingles", "times"],
+    )
+
+
+def _counted(width, ranges):
     def rows(batches):
+        found, size = [], 0
         for batch in batches:
-            found, size = [], 0
-            for _, hashes in _sets(batch, width):
+            for _, hashes, _ in _sets(batch, width):
                 found.append(hashes)
-                size += len(found[-1])
-                if size > _ROWS_AT_ONCE:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashing.signed(np.concatenate(found)))], ["shingle"])
+                size += len(hashes)
+                if size > BLOCK:
+                    yield _block_rows(np.concatenate(found), ranges)
                     found, size = [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([pa.array(hashing.signed(np.concatenate(found)))], ["shingle"])
+        if size:
+            yield _block_rows(np.concatenate(found), ranges)
 
     return rows
 
 
-def in_order(hashes, frequent):
-    """The set in the order of shingles that all sets share; ``frequent`` is sorted."""
-    if not len(frequent):
-        return hashes
-    place = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return hashes[np.lexsort((hashes, frequent[place] == hashes))]
+def _often(table):
+    """Shingles of one range that are in more than ``FREQUENT`` documents."""
+    values = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
+    times = np.frombuffer(b"".join(table.column("times").to_pylist()), np.uint32)
+    order = np.argsort(values)
+    values, times = values[order], times[order].astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    totals = np.add.reduceat(times, starts)
+    often = totals > FREQUENT
+    return pa.table({"shingle": pa.array(hashing.signed(values[starts[often]])), "count": pa.array(totals[often])})
+
+
+def often_counted(docs, width, total):
+    """(shingle, count) of all shingles in more than ``FREQUENT`` documents.
+
+    A row of the shuffle holds the counts that a task has in one range of the hash space, as
+    bytes. There are as many ranges as ``total``, the sum of all set sizes, asks for, so that a range
+    fits a task whatever the size of the table; a shingle comes once from a block, however common.
+    """
+    ranges = max(RANGES, parts_for(total, BLOCK))
+    blocks = docs.select("text").mapInArrow(_counted(width, ranges), "part int, shingles binary, times binary")
+    return blocks.groupBy("part").applyInArrow(_often, "shingle long, count long")
+
+
+def among(frequent):
+    """A test which hashes are in ``frequent`` (sorted). Most are ruled out by their first bits."""
+    shift = np.uint64(64 - FIRST_BITS)
+    seen = np.zeros(1 << FIRST_BITS, bool)
+    seen[frequent >> shift] = True
+
+    def test(hashes):
+        found = seen[hashes >> shift]
+        maybe = np.flatnonzero(found)
+        if len(maybe):
+            values = hashes[maybe]
+            place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+            found[maybe] = frequent[place] == values
+        return found
+
+    return test
+
+
+def first_in_order(hashes, bounds, lengths, is_frequent):
+    """The first ``lengths`` of each set, in the order that all sets share: frequent shingles
+    last, and ascending. Returns places in ``hashes``, sets, and places in their order."""
+    sets = np.repeat(np.arange(len(lengths)), np.diff(bounds))
+    rare = ~is_frequent(hashes)
+    rare_before = np.concatenate([[0], np.cumsum(rare)])
+    rares = np.diff(rare_before[bounds])
+    rare_place = rare_before[:-1] - rare_before[bounds[:-1]][sets]
+    place = np.where(rare, rare_place, rares[sets] + np.arange(len(hashes)) - bounds[:-1][sets] - rare_place)
+    chosen = np.flatnonzero(place < lengths[sets])
+    return chosen, sets[chosen], place[chosen]
 
 
 def frequent_shingles(counts):
@@ -192,43 +291,49 @@ def _post(width, threshold, boundary, frequent):
     """
 
     def rows(batches):
-        frequent_keys = frequent.value if hasattr(frequent, "value") else frequent
+        is_frequent = among(frequent.value if hasattr(frequent, "value") else frequent)
         for batch in batches:
-            keys, classes, sizes, leads, total = [], [], [], [], 0
+            parts, total = [], 0
 
             def flush():
-                counts = [len(part) for part in keys]
+                names = pa.array([name for part in parts for name in part[1]], pa.binary())
+                offsets = np.cumsum([0, *(len(part[1]) for part in parts)])
+                owners = np.concatenate([part[2] + offset for part, offset in zip(parts, offsets)])
+                keys, sizes, places = (np.concatenate([part[k] for part in parts]) for k in (0, 3, 4))
+                leads = [pa.nulls(len(part[0]), pa.bool_()) if part[5] is None else pa.array(part[5]) for part in parts]
                 return pa.RecordBatch.from_arrays(
                     [
-                        pa.array(hashing.signed(np.concatenate(keys))),
-                        pa.array(np.repeat(np.array(classes, object), counts).tolist(), pa.binary()),
-                        pa.array(np.repeat(sizes, counts).astype(np.int64)),
-                        pa.array(np.concatenate([np.arange(count) for count in counts]).astype(np.int32)),
-                        pa.array(np.repeat(np.array(leads, object), counts).tolist(), pa.bool_()),
+                        pa.array(hashing.signed(keys)),
+                        names.take(pa.array(owners)),
+                        pa.array(sizes.astype(np.int64)),
+                        pa.array(places.astype(np.int32)),
+                        pa.concat_arrays(leads),
                     ],
                     ["key", "cls", "size", "place", "leads"],
                 )
 
-            for _, hashes in _sets(batch, width):
-                size, name = len(hashes), _class_key(hashes)
-                posted = []
-                if size <= boundary:
+            for _, hashes, bounds in _sets(batch, width):
+                sizes, names = np.diff(bounds), _class_keys(hashes, bounds)
+                posts = (sizes > boundary) | (sizes * threshold.denominator >= threshold.numerator * boundary)
+                lengths = np.zeros(len(sizes), np.int64)
+                lengths[posts] = prefix_lengths(sizes[posts], threshold)
+                chosen, owners, places = first_in_order(hashes, bounds, lengths, is_frequent)
+                parts.append((hashes[chosen], names, owners, sizes[owners], places, None))
+                total += len(chosen)
+                for row in np.flatnonzero(sizes <= boundary).tolist():
+                    size, items = int(sizes[row]), hashes[bounds[row] : bounds[row + 1]]
                     for other in partner_sizes(size, threshold):
                         if other <= boundary:
                             low, high = min(size, other), max(size, other)
-                            posted.append((_subset_keys(hashes, low, high, threshold), size == low))
-                if size > boundary or size >= threshold * boundary:
-                    posted.append((in_order(hashes, frequent_keys)[: prefix_length(size, threshold)], None))
-                for part, lead in posted:
-                    keys.append(part)
-                    classes.append(name)
-                    sizes.append(size)
-                    leads.append(lead)
-                    total += len(part)
+                            keys = _subset_keys(items, low, high, threshold)
+                            count = len(keys)
+                            ones = np.zeros(count, np.int64)
+                            parts.append((keys, names[row : row + 1], ones, ones + size, np.arange(count), np.full(count, size == low)))
+                            total += count
                 if total > _ROWS_AT_ONCE:
                     yield flush()
-                    keys, classes, sizes, leads, total = [], [], [], [], 0
-            if keys:
+                    parts, total = [], 0
+            if total:
                 yield flush()
 
     return rows
@@ -244,9 +349,9 @@ def _wanted_sets(width):
     def rows(batches):
         for batch in batches:
             keys, sets, total = [], [], 0
-            for _, hashes in _sets(batch, width):
-                keys.append(_class_key(hashes))
-                sets.append(hashing.signed(hashes))
+            for _, hashes, bounds in _sets(batch, width):
+                keys.extend(_class_keys(hashes, bounds))
+                sets.extend(np.split(hashing.signed(hashes), bounds[1:-1]))
                 total += len(hashes)
                 if total > _ROWS_AT_ONCE:
                     yield _set_rows(keys, sets)
@@ -331,8 +436,8 @@ def jaccard_links(docs, width=5, threshold=Fraction(4, 5)):
     classes = kept(full.groupBy("cls").agg(F.max("size").alias("size"), F.max("bins").alias("bins"), F.min("doc_id").alias("doc_id")))
     spark = docs.sparkSession
 
-    counts = docs.mapInArrow(_counted(width), "shingle long").groupBy("shingle").count()
-    frequent = frequent_shingles(kept(counts.filter(F.col("count") > FREQUENT), release=True))
+    total = full.agg(F.sum("size")).first()[0] or 0
+    frequent = frequent_shingles(kept(often_counted(docs, width, total), release=True))
     histogram = {row["size"]: row["count"] for row in classes.filter(F.col("size") <= 128).groupBy("size").count().collect()}
     boundary = light_boundary(histogram, threshold)
 

@@ -5,11 +5,13 @@ import os
 import re
 import time
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import compare
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +144,89 @@ def test_alike_words_are_different_texts(spark):
     assert places != [set(terms.tolist()) for _, _, _, terms in toxicity.hashed_terms(pa.array([other]), 20)]
 
 
+def made_sets(texts, width):
+    """(row, set) of all texts with words, as tasks make them."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for rows, hashes, bounds in jaccard_join._sets(batch, width):
+        for row, low, high in zip(rows.tolist(), bounds, bounds[1:]):
+            yield row, hashes[low:high]
+
+
+def counted_texts():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 12, size)) for size in rng.integers(0, 30, 200)]
+    return [None, "", " ", "One", "one two", "x" * 5000, *texts, "x" * 5000, "y " * 40]
+
+
+def test_sets_of_many_texts_are_those_of_each_text():
+    texts = counted_texts()
+    names = {}
+    for width in (1, 3, 5):
+        made = dict(made_sets(texts, width))
+        assert sorted(made) == [row for row, text in enumerate(texts) if words(text)]
+        for row, hashes in made.items():
+            expected = shingles(texts[row], width)
+            assert len(hashes) == len(expected) and (np.diff(hashes.astype(object)) > 0).all()
+            assert names.setdefault(expected, hashes.tolist()) == hashes.tolist()
+    assert len({tuple(hashes) for hashes in names.values()}) == len(names)
+
+
+def test_shingle_counts_leave_a_task_as_few_rows(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 500)
+    texts, width, ranges = counted_texts() * 3, 3, 8
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    blocks = list(jaccard_join._counted(width, ranges)(iter([batch.slice(0, 100), batch.slice(100)])))
+    total = sum(len(hashes) for _, hashes in made_sets(texts, width))
+    rows = pa.Table.from_batches(blocks)
+    assert 1 < len(blocks) and rows.num_rows <= ranges * len(blocks) < total / 20
+    expected = Counter(value for _, hashes in made_sets(texts, width) for value in hashes.tolist())
+    got = {}
+    for part in set(rows.column("part").to_pylist()):
+        for row in jaccard_join._often(rows.filter(pc.equal(rows.column("part"), part))).to_pylist():
+            got[row["shingle"] % 2**64] = row["count"]
+    assert got == {value: count for value, count in expected.items() if count > jaccard_join.FREQUENT}
+
+
+def test_counts_of_frequent_shingles(spark):
+    texts = counted_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    expected = Counter(value for _, hashes in made_sets(texts, 1) for value in hashes.tolist())
+    got = {row["shingle"] % 2**64: row["count"] for row in jaccard_join.often_counted(docs, 1, 2000).collect()}
+    assert len(got) and got == {value: count for value, count in expected.items() if count > jaccard_join.FREQUENT}
+    assert jaccard_join.often_counted(docs.filter("doc_id < 0"), 1, 0).count() == 0
+
+
+def test_first_shingles_are_rare_ones_first():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2**64, size, np.uint64)) for size in (1, 40, 7, 300)]
+    hashes, bounds = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    frequent = np.sort(np.concatenate([rng.choice(hashes, 150, replace=False), rng.integers(0, 2**64, 500, np.uint64)]))
+    lengths = jaccard_join.prefix_lengths(np.diff(bounds), Fraction(9, 10))
+    assert lengths.tolist() == [jaccard_join.prefix_length(len(part), Fraction(9, 10)) for part in sets]
+    for known in (frequent, frequent[:0]):
+        chosen, owners, places = jaccard_join.first_in_order(hashes, bounds, lengths, jaccard_join.among(known))
+        often = set(known.tolist())
+        for number, part in enumerate(sets):
+            mine = owners == number
+            got = [hashes[at] for _, at in sorted(zip(places[mine], chosen[mine]))]
+            assert sorted(places[mine]) == list(range(lengths[number]))
+            assert got == sorted(part.tolist(), key=lambda value: (value in often, value))[: lengths[number]]
+
+
+def test_short_words_need_one_sum(monkeypatch):
+    data = np.frombuffer(b"one two One " + b"z" * 100 + b" two", np.uint8)
+    starts, ends = hashing.word_spans(data, np.array([0, len(data)]))
+    long = []
+    monkeypatch.setattr(hashing, "span_hashes", lambda sums, low, high, f=hashing.span_hashes: long.extend(high - low) or f(sums, low, high))
+    one, two, other, _, again = hashing.quick_word_hashes(data, starts, ends)
+    assert one == other != two == again and long == [100]
+    # the texts known to agree whatever the base: halves swapped again and again, here as long as a short word can be
+    codes = [int(code) for code in hashing.CODES[0]]
+    shared = max(((a - b) & -(a - b)).bit_length() - 1 for k, a in enumerate(codes) for b in codes[:k])
+    halvings = [(hashing.BASE ** (1 << k) - 1) for k in range((hashing.SHORT - 1).bit_length())]
+    assert shared + sum((value & -value).bit_length() - 1 for value in halvings) < 64
+
+
 def test_subset_sizes_and_boundary():
     assert [jaccard_join.overlap(s, s, Fraction(9, 10)) for s in (1, 9, 18, 19, 38)] == [1, 9, 18, 18, 36]
     assert jaccard_join.light_boundary({}, Fraction(9, 10)) == 0
