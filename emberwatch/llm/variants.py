@@ -157,6 +157,12 @@ def _keyed(words, ranks, probes):
     return made.withColumn("key", F.xxhash64("key"))
 
 
+def _shuffled(frame):
+    """Both sides of a join with ``frame`` are shuffled and sorted, neither is ever broadcast. Spark
+    sizes what is made of words by the few compressed bytes of their file: 805 MB of keys as 5 MB."""
+    return frame.hint("merge")
+
+
 def near_pairs(words):
     """All pairs of ``words`` (word, n; words of four letters and more, each once) that are one
     inserted, deleted or replaced letter apart, in both directions: word, n, near, near_n. A
@@ -165,7 +171,7 @@ def near_pairs(words):
     index = _keyed(words, ranks, probes=False).select("key", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"))
     probes = _keyed(words, ranks, probes=True)
     ahead = (probes["last"] <= index["near_last"]) & (probes["word"] != index["near"])
-    met = probes.join(index, (probes["key"] == index["key"]) & ahead)
+    met = probes.join(_shuffled(index), (probes["key"] == index["key"]) & ahead)
     met = met.filter(F.levenshtein("word", "near", 1) == 1)
     ways = F.array(F.struct("word", "n", "near", "near_n"), F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))
     return met.select(F.explode(ways).alias("way")).select("way.*")
@@ -180,7 +186,7 @@ def roots(forms, most):
     found = kept(forms.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")))
     for _ in range(math.ceil(math.log2(max(2.0, math.log2(max(most, 2))))) + 1):
         onward = found.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = found.join(onward, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
+        moved = found.join(_shuffled(onward), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved"))
         found = kept(moved)
         if found.filter("moved").isEmpty():
             break
@@ -202,7 +208,7 @@ def group_variants(words):
     form, form_n = F.when(takes, F.col("best.near")), F.when(takes, -F.col("best.rank"))
     grouped = kept(grouped.select("word", "n", "n_near", form.alias("form"), form_n.alias("form_n")))
     ends = roots(grouped.filter("form IS NOT NULL"), words.agg(F.max("n")).first()[0] or 0)
-    return grouped.join(ends, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return grouped.join(_shuffled(ends), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(docs, least=5, times=3, noise=97, text="text", key="doc_id"):

@@ -73,6 +73,24 @@ def test_variants_of_random_words(spark):
     assert variant_rows(spark, counts) == brute_variants(counts)
 
 
+def test_variants_broadcast_nothing(spark, monkeypatch):
+    """Spark sizes keys and chains by the file of the words, far too low, and would send them to the driver."""
+    plans, keep = [], variants.kept
+
+    def kept(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return keep(frame)
+
+    monkeypatch.setattr(variants, "kept", kept)
+    counts = {"straße": 40, "strasse": 9, "strase": 3, "strass": 1, "wörter": 7, "worter": 2}
+    words = keep(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    found = variants.group_variants(words)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) >= 4 and sum("Join" in plan for plan in plans) >= 3
+    assert not any("Broadcast" in plan for plan in plans)
+    assert sorted((row.word, row.n, row.n_near, row.form, row.form_n, row.root) for row in found.collect()) == brute_variants(counts)
+
+
 def test_pivots_are_apart_and_cheapest():
     rng = np.random.default_rng(9)
     for _ in range(500):
